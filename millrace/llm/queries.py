@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from millrace.llm import mixing
+from millrace.llm import decontaminate, mixing, token_files
 
 
 def queries():
     return {
+        "op9_positional_index": decontaminate.op9_positional_index,
+        "op2_token_files": token_files.op2_token_files,
         "op10_weighted_fair_mix": mixing.op10_weighted_fair_mix,
     }
 
 
 def oracle_sql():
-    return {"op10_weighted_fair_mix": mixing.ORACLE}
+    return {"op9_positional_index": decontaminate.ORACLE, "op10_weighted_fair_mix": mixing.ORACLE}
