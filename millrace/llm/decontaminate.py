@@ -47,12 +47,13 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def build_index(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
-    """(row, doc_id, n_words, pos, term) of every token that ``terms`` (column ``term``) holds; a header has pos -1 and no term."""
-    rows = docs.select("doc_id", words(F.col("text")).alias("w")).withColumn("row", F.monotonically_increasing_id())
-    all_ = rows.select("row", "doc_id", F.size("w").alias("n_words"), F.posexplode(F.concat(F.array(F.lit("")), "w")).alias("at", "term"))
+    """(row, doc_id, n_words, pos, term, text_md5) of every token that ``terms`` (column ``term``) holds; a header has pos -1, no term and the text's digest."""
+    rows = docs.select("doc_id", words(F.col("text")).alias("w"), F.md5("text").alias("text_md5")).withColumn("row", F.monotonically_increasing_id())
+    all_ = rows.select("row", "doc_id", "text_md5", F.size("w").alias("n_words"), F.posexplode(F.concat(F.array(F.lit("")), "w")).alias("at", "term"))
     known = _small(terms.select("term").union(docs.sparkSession.createDataFrame([("",)], "term string")), n_terms)
     kept = all_.join(known, "term", "left_semi")
-    index = kept.select("row", "doc_id", "n_words", (F.col("at") - 1).alias("pos"), F.when(F.col("at") > 0, F.col("term")).alias("term"))
+    header = F.col("at") == 0
+    index = kept.select("row", "doc_id", "n_words", (F.col("at") - 1).alias("pos"), F.when(~header, F.col("term")).alias("term"), F.when(header, F.col("text_md5")).alias("text_md5"))
     return written(index, "positional-index")
 
 
@@ -117,6 +118,17 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, least_i
     )
 
 
+def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, least_items: int = 1) -> DataFrame:
+    """The rows of ``docs`` in whose text windows of fewer than ``least_items`` items occur."""
+    wins = written(windows(items.select("item_id", "text"), width), "windows")
+    terms = wins.select("term").distinct()
+    index = build_index(docs, terms, terms.count())
+    hit = phrases(index, wins).select("row", "item_id").distinct().groupBy("row").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_items)
+    # what is found depends on the text alone, so its digest names the rows to drop
+    foul = index.where("pos = -1").join(hit, "row", "left_semi").select("text_md5").distinct()
+    return docs.join(foul, F.md5("text") == F.col("text_md5"), "left_anti")
+
+
 def op9_positional_index(spark, sf_dir: str) -> DataFrame:
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
