@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, mixing, near_duplicates, quality, token_files
+from millrace.llm import decontaminate, mixing, near_duplicates, quality, secrets, token_files
 
 
 def queries():
     return {
         "op1_random_indexing_quality": quality.op1_random_indexing_quality,
         "op6_lsh_forest_join": near_duplicates.op6_lsh_forest_join,
+        "op8_decoding_worklist": secrets.op8_decoding_worklist,
         "op9_positional_index": decontaminate.op9_positional_index,
         "op2_token_files": token_files.op2_token_files,
         "op10_weighted_fair_mix": mixing.op10_weighted_fair_mix,
