@@ -25,6 +25,8 @@ WIDTH = 8
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: Terms and windows of the benchmark are broadcast up to so many rows.
 BROADCAST_ROWS = 50_000
+#: Hash marks by which documents without a candidate are passed over before postings are shuffled.
+ROW_MARKS = 1 << 20
 
 
 def words(text: Column) -> Column:
@@ -46,6 +48,12 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def _of_rows(postings: DataFrame, rows: DataFrame) -> DataFrame:
+    """Postings whose document may be in ``rows``: at most ``ROW_MARKS`` marks are broadcast, a join that is exact follows."""
+    mark = lambda: F.pmod(F.xxhash64("row"), F.lit(ROW_MARKS)).alias("mark")
+    return postings.withColumn("mark", mark()).join(F.broadcast(rows.select(mark()).distinct()), "mark", "left_semi").drop("mark")
+
+
 def build_index(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
     """(row, doc_id, n_words, pos, term, text_md5) of every token that ``terms`` (column ``term``) holds; a header has pos -1, no term and the text's digest."""
     rows = docs.select("doc_id", words(F.col("text")).alias("w"), F.md5("text").alias("text_md5")).withColumn("row", F.monotonically_increasing_id())
@@ -69,8 +77,8 @@ def phrases(index: DataFrame, wins: DataFrame) -> DataFrame:
     first = _small(ranked.where("rank = 1").select("term", "window", "item_id", "size", "off"), n)
     starts = postings.join(first, "term").select("row", (F.col("pos") - F.col("off")).alias("start"), "window", "item_id", "size").where("start >= 0")
     second = ranked.where("rank = 2").select("window", F.col("off").alias("off2"), F.col("term").alias("term2"))
-    starts = starts.join(_small(second, n), "window", "left")
-    near = postings.join(_small(second.select(F.col("term2").alias("term")).distinct(), n), "term", "left_semi")
+    starts = written(starts.join(_small(second, n), "window", "left"), "rarest-starts")
+    near = _of_rows(postings, starts).join(_small(second.select(F.col("term2").alias("term")).distinct(), n), "term", "left_semi")
     near = near.select(F.col("row").alias("row2"), F.col("pos").alias("pos2"), F.col("term").alias("term3"))
     met = (F.col("row") == F.col("row2")) & (F.col("start") + F.col("off2") == F.col("pos2")) & (F.col("term2") == F.col("term3"))
     alone = starts.where("off2 IS NULL").select("row", "start", "window", "item_id", "size")
@@ -78,8 +86,7 @@ def phrases(index: DataFrame, wins: DataFrame) -> DataFrame:
     starts = written(starts.union(alone), "candidate-starts")
     rest = _small(ranked.where("rank > 2").select("window", "off", "term"), n)
     need = starts.where("size > 2").join(rest, "window").select("row", (F.col("start") + F.col("off")).alias("pos"), "term", "start", "window", "item_id", "size")
-    have = postings.join(starts.select("row").distinct(), "row", "left_semi")
-    whole = need.join(have, ["row", "pos", "term"]).groupBy("row", "start", "window", "item_id", "size").agg(F.count(F.lit(1)).alias("n")).where("n = size - 2").drop("n")
+    whole = need.join(_of_rows(postings, starts), ["row", "pos", "term"]).groupBy("row", "start", "window", "item_id", "size").agg(F.count(F.lit(1)).alias("n")).where("n = size - 2").drop("n")
     return whole.union(starts.where("size <= 2"))
 
 
