@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, mixing, near_duplicates, quality, secrets, token_files
+from millrace.llm import decontaminate, mixing, near_duplicates, quality, secrets, token_files, warc
 
 
 def queries():
     return {
         "op1_random_indexing_quality": quality.op1_random_indexing_quality,
+        "op5_warc_source": warc.op5_warc_source,
         "op6_lsh_forest_join": near_duplicates.op6_lsh_forest_join,
         "op8_decoding_worklist": secrets.op8_decoding_worklist,
         "op9_positional_index": decontaminate.op9_positional_index,
@@ -17,4 +18,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op9_positional_index": decontaminate.ORACLE, "op10_weighted_fair_mix": mixing.ORACLE}
+    return {"op5_warc_source": warc.ORACLE, "op9_positional_index": decontaminate.ORACLE, "op10_weighted_fair_mix": mixing.ORACLE}
