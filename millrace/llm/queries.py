@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, mixing, near_duplicates, quality, secrets, token_files, warc
+from millrace.llm import decontaminate, mixing, near_duplicates, quality, secrets, token_files, vector_duplicates, warc
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op1_random_indexing_quality": quality.op1_random_indexing_quality,
         "op5_warc_source": warc.op5_warc_source,
         "op6_lsh_forest_join": near_duplicates.op6_lsh_forest_join,
+        "op7_nn_descent": vector_duplicates.op7_nn_descent,
         "op8_decoding_worklist": secrets.op8_decoding_worklist,
         "op9_positional_index": decontaminate.op9_positional_index,
         "op2_token_files": token_files.op2_token_files,
@@ -18,4 +19,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op5_warc_source": warc.ORACLE, "op9_positional_index": decontaminate.ORACLE, "op10_weighted_fair_mix": mixing.ORACLE}
+    return {"op5_warc_source": warc.ORACLE, "op7_nn_descent": vector_duplicates.ORACLE, "op9_positional_index": decontaminate.ORACLE, "op10_weighted_fair_mix": mixing.ORACLE}
