@@ -40,7 +40,7 @@ END_ID = 0
 SHARD_MAGIC, INDEX_MAGIC = b"MRIDS1\0\0", b"MRMPH1\0\0"
 LEVELS, GAMMA = 24, 2.0
 #: Distinct pieces of text whose ids a worker remembers.
-MEMORY = 700_000
+MEMORY = 400_000
 
 
 #: How a byte-level tokenizer cuts text before merging (fixed by the tokenizer's format).
@@ -49,21 +49,15 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 
 
-def _differing() -> str:
-    """Character class of what ``PATTERN`` and ``PLAIN`` class differently."""
+def _differing() -> frozenset[str]:
+    """Characters that ``PATTERN`` and ``PLAIN`` class differently."""
     import regex
 
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    odd = set()
+    odd: set[str] = set()
     for full, plain in ((r"\p{L}", r"[^\W\d_]"), (r"\p{N}", r"\d"), (r"\s", r"\s")):
         odd |= set(regex.findall(full, every)) ^ set(re.findall(plain, every))
-    runs: list[list[int]] = []
-    for code in sorted(map(ord, odd)):
-        if runs and runs[-1][1] == code - 1:
-            runs[-1][1] = code
-        else:
-            runs.append([code, code])
-    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) + "]"
+    return frozenset(odd)
 
 
 class Encoder(dict):
@@ -89,7 +83,7 @@ class Encoder(dict):
         self.kind = f"<u{self.width}"
         if self.by_piece:
             self.any_split, self.plain_split = regex.compile(PATTERN).findall, re.compile(PLAIN).findall
-            self.odd = re.compile(_differing()).search
+            self.odd = _differing()
             self.added = [t["content"] for t in spec.get("added_tokens", [])]
             shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the vocabulary
             others = [b for b in range(256) if b not in shown]
@@ -106,7 +100,8 @@ class Encoder(dict):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
         if len(self) > MEMORY:
             self.clear()
-        return b"".join(map(self.__getitem__, (self.any_split if self.odd(text) else self.plain_split)(text)))
+        plain = self.odd.isdisjoint(set(text))
+        return b"".join(map(self.__getitem__, (self.plain_split if plain else self.any_split)(text)))
 
 
 @lru_cache(maxsize=2)
