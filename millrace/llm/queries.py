@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, lattice, mixing, near_duplicates, quality, secrets, token_files, vector_duplicates, warc
+from millrace.llm import decontaminate, lattice, mixing, near_duplicates, personal_data, quality, secrets, token_files, vector_duplicates, warc
 
 
 def queries():
     return {
         "op1_random_indexing_quality": quality.op1_random_indexing_quality,
+        "op3_weak_supervision": personal_data.op3_weak_supervision,
         "op4_subword_lattice": lattice.op4_subword_lattice,
         "op5_warc_source": warc.op5_warc_source,
         "op6_lsh_forest_join": near_duplicates.op6_lsh_forest_join,
