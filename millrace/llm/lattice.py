@@ -7,8 +7,8 @@ Characters that are no piece are spelled in byte pieces, so every text has a
 probability.  A text is the product of its words and one end token.
 
 Piece probabilities start from the vocabulary's own scores (for a merge-ranked
-vocabulary, whose scores are ranks, from a rank law) and are re-estimated once
-by expectation-maximisation over all words of the training texts: expected
+vocabulary, whose scores are ranks, from a rank law) and are re-estimated by
+expectation-maximisation over all words of the training texts: expected
 counts of every piece, summed over the whole corpus, with the first
 probabilities as a prior.
 
@@ -36,7 +36,9 @@ from millrace.llm.common import LOWER, TO_LOWER, UPPER, read, written
 #: Most frequent words that every worker holds: a bounded table.
 HOT = 150_000
 #: Weight of the first probabilities in the re-estimation, in pieces.
-PRIOR = 1_000.0
+PRIOR = 100.0
+#: Rounds of expectation-maximisation, each over all words of the training texts.
+ROUNDS = 2
 MARK = "▁"
 #: Words up to this length are scored in batches, longer ones alone.
 BATCH_LENGTH = 48
@@ -205,11 +207,13 @@ def expected_counts(words: DataFrame, lattice: Lattice) -> np.ndarray:
 def fit(words: DataFrame, ends: int, vocabulary: str) -> Lattice:
     """The vocabulary's lattice with probabilities re-estimated on the training words and their ``ends`` texts."""
     pieces, byte_scores = load_vocabulary(vocabulary)
-    first = Lattice(pieces, byte_scores, 0.0)
-    n = expected_counts(words, first) + PRIOR * np.exp(first.scores)
-    end = ends + 1.0
-    scores = np.log(n / (n.sum() + end))
-    return Lattice(dict(zip(first.names, scores[: first.bytes_at], strict=True)), list(scores[first.bytes_at :]), math.log(end / (n.sum() + end)))
+    model = Lattice(pieces, byte_scores, 0.0)
+    prior, end = PRIOR * np.exp(model.scores), ends + 1.0
+    for _ in range(ROUNDS):
+        n = expected_counts(words, model) + prior
+        scores = np.log(n / (n.sum() + end))
+        model = Lattice(dict(zip(model.names, scores[: model.bytes_at], strict=True)), list(scores[model.bytes_at :]), math.log(end / (n.sum() + end)))
+    return model
 
 
 def score(docs: DataFrame, vocabulary: str, fold: int = 1, folds: int = 5) -> DataFrame:
