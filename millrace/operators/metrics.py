@@ -65,7 +65,7 @@ def binary_thresholds(df: DataFrame, score: str, label: str, by: list[str] | Non
     return each.groupBy(*by).agg(
         F.max((F.col("tp") + F.col("n") - F.col("fp")) / (F.col("p") + F.col("n"))).alias("accuracy"),
         F.max(2 * F.col("tp") / (F.col("tp") + F.col("fp") + F.col("p"))).alias("f1"),
-        F.sum(F.col("pos") / F.col("p") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("average_precision"),
+        F.sum(F.try_divide(F.col("pos"), F.col("p")) * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("average_precision"),
     )
 
 

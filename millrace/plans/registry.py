@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from millrace.plans import relational, selection  # noqa: F401
+    from millrace.plans import evaluation, joins, ranks, relational, selection, streams, texts  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
