@@ -11,7 +11,7 @@ from millrace.streaming import events as E
 
 
 def _stream(spark, sf_dir):
-    return E.read_events(spark, f"{sf_dir}/events.parquet", table(spark, sf_dir, "events").schema)
+    return E.read_events(spark, sf_dir, table(spark, sf_dir, "events").schema, "events.parquet")
 
 
 def _name(kind: str) -> str:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def read_events(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def read_events(spark: SparkSession, folder: str, schema, files: str = "*.parquet", files_per_trigger: int = 1) -> DataFrame:
+    """Parquet files of a folder as they arrive, oldest first."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).option("pathGlobFilter", files).parquet(folder)
 
 
 def tumbling(events: DataFrame, time: str, width: str, keys: list[str], late: str = "10 minutes") -> DataFrame:
