@@ -19,7 +19,7 @@ ORACLE_SQL = None
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good (score of at least 0.5)."""
-    return quality.score(docs, read(spark, sf_dir, "labels")).where("quality_score >= 0.5").drop("quality_score")
+    return quality.keep(docs, read(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

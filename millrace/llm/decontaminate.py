@@ -133,7 +133,8 @@ def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, least_items: in
     hit = phrases(index, wins).select("row", "item_id").distinct().groupBy("row").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_items)
     # what is found depends on the text alone, so its digest names the rows to drop
     foul = index.where("pos = -1").join(hit, "row", "left_semi").select("text_md5").distinct()
-    return docs.join(foul, F.md5("text") == F.col("text_md5"), "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_row"), F.md5("text").alias("text_md5"))
+    return rows.join(foul, "text_md5", "left_anti").select("doc_row.*")
 
 
 def op9_positional_index(spark, sf_dir: str) -> DataFrame:

@@ -12,8 +12,8 @@ are summed first, and rows are summed within their bucket.
 
 Defined cases: null text has size 0, null source is a source of its own that
 sorts last, sizes of 0 are never taken, repeated rows are separate documents,
-an empty table gives an empty result, extra columns are kept by ``mix`` unless
-their names begin with ``mix_``.
+an empty table gives an empty result, extra columns of any name are kept by
+``mix`` and ignored by ``plan``.
 """
 
 from __future__ import annotations
@@ -98,10 +98,9 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it takes it."""
-    names = docs.columns
     chosen = plan(docs, **options).where("copies > 0").groupBy("mix_key").agg(F.first("copies").alias("mix_copies"))
-    rows = docs.withColumn("mix_key", _key()).join(chosen, "mix_key")
-    return rows.withColumn("mix_turn", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(*names)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"), _key().alias("mix_key")).join(chosen, "mix_key")
+    return rows.select("mix_row", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select("mix_row.*")
 
 
 def op10_weighted_fair_mix(spark, sf_dir: str) -> DataFrame:

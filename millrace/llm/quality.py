@@ -197,11 +197,10 @@ def sample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_cha
     return rows.sort_values(["doc_id", "text"], kind="stable").reset_index(drop=True)
 
 
-def score(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
-    """``docs`` with the column quality_score."""
-    spark = docs.sparkSession
+def scorer(docs: DataFrame, labels: DataFrame, **bounds):
+    """A function of a text column that gives its quality, fitted on labelled rows of ``docs``."""
     rows = sample(docs, labels, **bounds)
-    model = spark.sparkContext.broadcast(train(rows["text"].tolist(), rows["quality"].to_numpy()))
+    model = docs.sparkSession.sparkContext.broadcast(train(rows["text"].tolist(), rows["quality"].to_numpy()))
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
@@ -210,7 +209,17 @@ def score(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
         vectors, net = model.value
         return pd.Series(net(np.stack([features(t, vectors) for t in texts]).astype(np.float64)) if len(texts) else [], dtype=float)
 
-    return docs.withColumn("quality_score", scored("text"))
+    return scored
+
+
+def score(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
+    """``docs`` with the column quality_score."""
+    return docs.withColumn("quality_score", scorer(docs, labels, **bounds)("text"))
+
+
+def keep(docs: DataFrame, labels: DataFrame, least: float = 0.5, **bounds) -> DataFrame:
+    """The rows of ``docs`` that score at least ``least``."""
+    return docs.where(scorer(docs, labels, **bounds)("text") >= least)
 
 
 def op1_random_indexing_quality(spark, sf_dir: str) -> DataFrame:
