@@ -43,6 +43,7 @@ MARK = "▁"
 #: Words up to this length are scored in batches, longer ones alone.
 BATCH_LENGTH = 48
 _NEVER = -1e30
+_FACTOR, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def load_vocabulary(path: str) -> tuple[dict[str, float], list[float]]:
@@ -69,6 +70,16 @@ class Lattice:
         self.row = {p: i for i, p in enumerate(self.names)}
         self.bytes_at = len(self.names)
         self.longest = max(map(len, self.names), default=1)
+        # for batches: a bit map by hash, then the pieces' hashes in order, then their characters
+        self.chars = np.array(self.names, f"<U{self.longest}").view(np.uint32).reshape(len(self.names), self.longest)
+        sizes, hashes = np.array([len(p) for p in self.names]), np.zeros(len(self.names), np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(self.longest):
+                hashes = np.where(sizes > k, hashes * _FACTOR + self.chars[:, k] + np.uint64(1), hashes)
+            self.marks = np.zeros(1 << 20, bool)
+            self.marks[(hashes * _SPREAD) >> np.uint64(44)] = True
+        self.order = np.argsort(hashes)
+        self.hashes = hashes[self.order]
 
     def edges(self, word: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
         """(from, to, score, piece row or -1, bytes of the spelled characters) of a word's lattice."""
@@ -129,16 +140,23 @@ class Lattice:
         return out
 
     def _batch(self, words: list[str], n: int, counts, weights) -> np.ndarray:
-        m, get = len(words), self.row.get
-        widths = range(1, min(n, self.longest) + 1)
+        m = len(words)
+        chars = np.array(words, f"<U{n}").view(np.uint32).reshape(m, n)
         score, row = {}, {}
         for i in range(n):
-            for k in widths:
-                if i + k > n:
-                    break
-                r = np.array([get(w[i : i + k], -1) for w in words])
-                if k > 1 and (r < 0).all():
+            h = np.zeros(m, np.uint64)
+            for k in range(1, min(n - i, self.longest) + 1):
+                h = h * _FACTOR + chars[:, i + k - 1] + np.uint64(1)
+                maybe = np.flatnonzero(self.marks[(h * _SPREAD) >> np.uint64(44)])
+                if k > 1 and not len(maybe):
                     continue
+                r = np.full(m, -1)
+                at = np.minimum(np.searchsorted(self.hashes, h[maybe]), len(self.hashes) - 1)
+                found = self.order[at]
+                ok = (self.hashes[at] == h[maybe]) & (self.chars[found, :k] == chars[maybe, i : i + k]).all(1)
+                if k < self.longest:
+                    ok &= self.chars[found, k] == 0
+                r[maybe[ok]] = found[ok]
                 s = np.where(r >= 0, self.scores[r], _NEVER)
                 if k == 1:
                     for x in np.flatnonzero(r < 0):
