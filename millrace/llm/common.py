@@ -16,6 +16,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TO_LOWER = str.maketrans(UPPER, LOWER)
 
 
+_LOCAL: list[str] = []
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,9 +26,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A new path below the folder that driver and executors share (``spark.checkpoint.dir``)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:  # only where the session has none, as in tests
-        base = f"file://{tempfile.mkdtemp(prefix='millrace-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
+    if not base:  # only where the session has none, as in local tests
+        if not _LOCAL:
+            _LOCAL.append(f"file://{tempfile.mkdtemp(prefix='millrace-')}")
+        base = _LOCAL[0]
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
 
 
