@@ -203,3 +203,22 @@ def pivot_statuses(spark, sf_dir):
 @query("unpivot_flags", "SELECT doc_id, 'quality' AS flag, quality AS value FROM labels UNION ALL SELECT doc_id, 'toxic', toxic FROM labels")
 def unpivot_flags(spark, sf_dir):
     return table(spark, sf_dir, "labels").unpivot("doc_id", ["quality", "toxic"], "flag", "value")
+
+
+@query("softmax_loss", "SELECT label, round(avg(ln(list_sum(list_transform(x, lambda v: exp(v)))) - x[label + 1]), 5) AS loss FROM (SELECT label, list_slice(embedding::DOUBLE[], 1, 10) AS x FROM embeddings) GROUP BY label")
+def softmax_loss(spark, sf_dir):
+    logits = table(spark, sf_dir, "embeddings").select("label", F.slice(F.col("embedding").cast("array<double>"), 1, 10).alias("x"))
+    return logits.groupBy("label").agg(F.round(F.avg(-F.log(F.get(V.softmax(F.col("x")), F.col("label")))), 5).alias("loss"))
+
+
+@query(
+    "batch_all_triplet",
+    f"""WITH {_BATCH}, d AS (SELECT a.batch, a.vec_id, c.vec_id AS other, a.label = c.label AS same, list_distance(a.x, c.x) AS d FROM b a JOIN b c ON a.batch = c.batch AND a.vec_id <> c.vec_id),
+        t AS (SELECT p.batch, greatest(p.d - n.d + 5, 0) AS l FROM d p JOIN d n ON p.batch = n.batch AND p.vec_id = n.vec_id AND p.same AND NOT n.same) SELECT batch, round(avg(l) FILTER (l > 0), 5) AS loss, count(*) AS n FROM t GROUP BY batch""",
+)
+def batch_all_triplet(spark, sf_dir):
+    d = _pairs(spark, sf_dir).where("vec_id <> other").select("batch", "vec_id", (F.col("label") == F.col("l2")).alias("same"), V.euclidean(F.col("x"), F.col("y")).alias("d"))
+    near, far = d.where("same").select("batch", "vec_id", F.col("d").alias("p")), d.where("NOT same").select("batch", "vec_id", F.col("d").alias("n"))
+    loss = F.greatest(F.col("p") - F.col("n") + 5, F.lit(0.0))
+    rows = near.join(far, ["batch", "vec_id"]).select("batch", loss.alias("l"))
+    return rows.groupBy("batch").agg(F.round(F.avg(F.when(F.col("l") > 0, F.col("l"))), 5).alias("loss"), F.count(F.lit(1)).alias("n"))
