@@ -4,12 +4,13 @@ Vectors of one label (and length) with equal components form a class.  A
 neighbour graph over the classes starts from random-hyperplane cells, then each
 round compares the neighbours of every node with each other and keeps the best
 ``LIST`` of each, until a round improves few lists.  Edges at the threshold tie
-nodes into clusters.  A list whose last entry is still at the threshold is
-saturated, so lists are enlarged to the whole cluster: every cluster is compared
-exactly, in pairs of blocks that different tasks take, which return counts and
-local roots, never pairs.  A bounded set of query vectors is held against all
-vectors to audit the recall; below ``LEAST_RECALL`` the search goes on with
-twice the list length.
+nodes into clusters, and the clusters only say which vectors stand in one block
+(those without a large cluster go by hyperplane cell).  Links do not depend on
+the lists: every two blocks of a label are compared exactly unless the angle
+between their centers exceeds both radii and the threshold's angle together.
+Pairs of blocks go to different tasks, which return counts and local roots,
+never pairs.  A bounded set of query vectors is held against all vectors to
+audit the recall; below ``LEAST_RECALL`` the operator fails.
 
 Defined cases: a vector that is null, empty, zero or holds a null or non-finite
 component, or whose label is null, has no links and is its own component; equal
@@ -30,6 +31,8 @@ from millrace.llm.near_duplicates import _roots, grouped
 
 THRESHOLD = 0.93
 LIST, TABLES, CELL, BLOCK = 10, 8, 128, 400
+#: Clusters from so many members on have blocks of their own; rounding of angles that no bound may rely on.
+OWN_BLOCK, SLACK = 32, 1e-6
 ROUNDS, SETTLED = 6, 0.002
 LEAST_RECALL, QUERIES = 0.99, 256
 
@@ -107,10 +110,12 @@ def _in_blocks(threshold: float):
     def run(batches):
         for group in grouped(batches, "part"):
             node, side, weight, x = group.column("node").to_numpy(), group.column("side").to_numpy(), group.column("size").to_numpy(), unit(group.column("unit").to_pylist())
-            ok = np.triu(x @ x.T >= threshold, 1)
-            if side.min() != side.max():
-                ok &= side[:, None] != side[None, :]
-            first, second = np.nonzero(ok)
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            if len(right):
+                first, second = np.nonzero(x[left] @ x[right].T >= threshold)
+                first, second = left[first], right[second]
+            else:
+                first, second = np.nonzero(np.triu(x @ x.T >= threshold, 1))
             if not len(first):
                 continue
             m = len(node)
@@ -121,6 +126,34 @@ def _in_blocks(threshold: float):
     return run
 
 
+def _centers(batches):
+    """(space, block, center, radius): each block's center and the largest angle of a member to it."""
+    for group in grouped(batches, "part"):
+        x = unit(group.column("unit").to_pylist())
+        center = x.mean(0)
+        norm = np.sqrt(center @ center)
+        center = center / norm if norm > 1e-9 else x[0]
+        radius = float(np.arccos(np.clip(x @ center, -1, 1)).max())
+        yield pa.record_batch([group.column("space").combine_chunks()[:1], group.column("part").combine_chunks()[:1], pa.array([center.tobytes()], pa.binary()), pa.array([radius])], names=["space", "block", "center", "radius"])
+
+
+def _near_blocks(threshold: float):
+    """(a, b): pairs of blocks of one space, and each block with itself, that can hold a link by their centers and radii."""
+    reach = float(np.arccos(np.clip(threshold, -1, 1))) + SLACK
+
+    def run(batches):
+        for group in grouped(batches, "part"):
+            block, center, radius = group.column("block").to_numpy(), unit(group.column("center").to_pylist()), group.column("radius").to_numpy()
+            for at in range(0, len(block), 512):
+                angle = np.arccos(np.clip(center[at : at + 512] @ center.T, -1, 1))
+                near = np.triu(angle <= radius[at : at + 512, None] + radius[None, :] + reach, at)
+                near[np.arange(len(near)), np.arange(at, at + len(near))] = True
+                first, second = np.nonzero(near)
+                yield pa.record_batch([pa.array(block[at + first]), pa.array(block[second])], names=["a", "b"])
+
+    return run
+
+
 def _dealt(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return df.select(F.col(key).alias("part"), *columns).repartition("part").sortWithinPartitions("part")
 
@@ -156,14 +189,30 @@ def _descend(nodes: DataFrame, lists: DataFrame, length: int) -> DataFrame:
     return _dealt(met, "u", ["node", "unit", "floor"]).mapInArrow(_among_neighbours(length // 2), EDGE)
 
 
+def _blocks(nodes: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(node, space, block, size, unit): all nodes, dealt into blocks of about ``BLOCK`` of one label and length, near ones together."""
+    own = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") >= OWN_BLOCK)
+    own = clusters.join(own, "component").select("node", "component")
+    spaces = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
+    bits = F.least(F.lit(24), F.greatest(F.lit(0), F.floor(F.log2(F.col("n") / BLOCK)))).cast("int")
+    rows = nodes.join(spaces, ["label", "dim"]).withColumn("bits", bits).join(own, "node", "left")
+    key = F.when(F.col("component").isNotNull(), F.xxhash64(F.lit(1), "component")).otherwise(F.xxhash64(F.lit(0), F.expr("shiftrightunsigned(codes[0], 24 - bits)")))
+    rows = rows.select("node", "size", "unit", F.xxhash64("label", "dim").alias("space"), key.alias("key"))
+    counts = rows.groupBy("space", "key").agg(F.count(F.lit(1)).alias("members"))
+    rows = rows.join(counts, ["space", "key"])
+    block = F.xxhash64("space", "key", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)))
+    return written(rows.select("node", "space", block.alias("block"), "size", "unit"), "vector-blocks")
+
+
 def _completed(nodes: DataFrame, clusters: DataFrame, threshold: float) -> DataFrame:
-    """(node, root, links): every cluster compared exactly, block by block."""
-    counts = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    rows = clusters.join(counts, "component").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("cut", F.xxhash64("component", F.least("side", "other"), F.greatest("side", "other"))).select("cut", "side", "node")
-    rows = rows.join(nodes.select("node", "size", "unit"), "node")
-    return written(_dealt(rows, "cut", ["side", "node", "size", "unit"]).mapInArrow(_in_blocks(threshold), "node long, root long, links long"), "vector-links")
+    """(node, root, links) of all links: every pair of blocks that can hold one is compared exactly."""
+    rows = _blocks(nodes, clusters)
+    centers = _dealt(rows, "block", ["space", "unit"]).mapInArrow(_centers, "space long, block long, center binary, radius double")
+    pairs = _dealt(centers, "space", ["block", "center", "radius"]).mapInArrow(_near_blocks(threshold), "a long, b long")
+    sides = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("block")))).otherwise(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("block")), F.struct(F.lit(1).alias("side"), F.col("b").alias("block"))))
+    met = written(pairs.select(F.xxhash64("a", "b").alias("cut"), F.inline(sides)), "block-pairs")
+    met = met.join(rows, "block").select("cut", "side", "node", "size", "unit")
+    return written(_dealt(met, "cut", ["side", "node", "size", "unit"]).mapInArrow(_in_blocks(threshold), "node long, root long, links long"), "vector-links")
 
 
 def audit(nodes: DataFrame, found: DataFrame, threshold: float, queries: int = QUERIES) -> float:
@@ -202,21 +251,18 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "vec_id",
     able = rows.where("unit IS NOT NULL")
     classes = able.groupBy("label", "dim", "unit").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("size"), F.first("codes").alias("codes"))
     nodes = written(classes.withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
-    total, length, lists = nodes.count(), LIST, None
-    while True:
-        edges = _cells(nodes, length // 2).withColumn("age", F.lit(0))
-        lists = written(_lists(edges if lists is None else edges.union(lists.select("u", "v", "sim", "age")), length), "neighbour-lists")
-        for age in range(1, ROUNDS + 1):
-            new = _descend(nodes, lists, length).withColumn("age", F.lit(age))
-            lists = written(_lists(lists.select("u", "v", "sim", "age").union(new), length), "neighbour-lists")
-            if lists.where(F.col("age") == age).count() <= SETTLED * total * length:
-                break
-        clusters = components(lists.where(F.col("sim") >= threshold - 1e-9).select(F.col("u").alias("a"), F.col("v").alias("b")))
-        links = _completed(nodes, clusters, threshold)
-        recall = audit(nodes, links, threshold)
-        if recall >= LEAST_RECALL or length >= 16 * LIST:
+    total = nodes.count()
+    lists = written(_lists(_cells(nodes, LIST // 2).withColumn("age", F.lit(0)), LIST), "neighbour-lists")
+    for age in range(1, ROUNDS + 1):
+        new = _descend(nodes, lists, LIST).withColumn("age", F.lit(age))
+        lists = written(_lists(lists.select("u", "v", "sim", "age").union(new), LIST), "neighbour-lists")
+        if lists.where(F.col("age") == age).count() <= SETTLED * total * LIST:
             break
-        length *= 2
+    clusters = components(lists.where(F.col("sim") >= threshold - 1e-9).select(F.col("u").alias("a"), F.col("v").alias("b")))
+    links = _completed(nodes, clusters, threshold)
+    recall = audit(nodes, links, threshold)
+    if recall < LEAST_RECALL:
+        raise RuntimeError(f"audited recall {recall} is below {LEAST_RECALL}")
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     group = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     least = group.join(nodes.select("node", "vec_id"), "node").groupBy("component").agg(F.min("vec_id").alias("component_id"))

@@ -33,3 +33,20 @@ def test_dense_clusters_and_odd_vectors(spark, monkeypatch):
 
 def test_empty(spark):
     assert V.link(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_links_between_groups_whose_lists_stay_inside(spark):
+    rng = np.random.default_rng(4)
+    axes = np.linalg.qr(rng.normal(size=(64, 64)))[0]
+    half = np.arccos(0.96) / 2
+    centers = [np.cos(half) * axes[0] + np.sin(half) * s * axes[1] for s in (1, -1)]
+    x = np.array([c + rng.normal(size=64) * 0.008 for c in centers for _ in range(200)]).astype(np.float32).astype(np.float64)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    s = unit @ unit.T
+    np.fill_diagonal(s, -1)
+    near = np.argsort(-s, axis=1)[:, : 16 * V.LIST]
+    assert (near // 200 == np.arange(400)[:, None] // 200).all() and (s[:200, 200:] >= V.THRESHOLD).all()
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    rows += [(1000 + i, v.tolist(), 0) for i, v in enumerate(rng.normal(size=(90, 64)))]
+    out = V.link(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out} == {i: (int((s[i] >= V.THRESHOLD).sum()), 0) if i < 400 else (0, i) for i, _, _ in rows}
