@@ -2,7 +2,9 @@
 
 A text is scanned, then every region that looks URL-escaped, Unicode-escaped,
 base64-coded or compressed is decoded into a layer that is scanned in turn,
-until no layer yields a new one.  A layer whose content and place were seen
+until no layer yields a new one.  Bytes that are not UTF-8 become replacement
+characters, bytes with a NUL are read as UTF-16 too, and the bytes of any layer
+are searched for gzip and zlib members.  A layer whose content and place were seen
 before is not entered again.  Each character of a layer carries the interval of
 the original text that it came from, so that a find in any depth is reported as
 a span of the original text.
@@ -36,6 +38,11 @@ NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})*(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)?={0,2}")
+SPACE = re.compile(r"[ \t\r\n]+")
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+PACKED_TEXT = re.compile(r"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+ESCAPED_BYTES = str.maketrans({i: "\ufffd" for i in range(0xDC80, 0xDD00)})
 MOST_BYTES = 32_000_000
 
 
@@ -78,7 +85,7 @@ def _runs(text: str, found: re.Pattern) -> list[tuple[int, int]]:
     return out
 
 
-def _percent(layer: Layer, a: int, b: int) -> Layer | None:
+def _percent(layer: Layer, a: int, b: int) -> tuple[bytes, list[tuple[int, int]]]:
     data, places, at = bytearray(), [], a
     for m in PERCENT.finditer(layer.text, a, b):
         for i in range(at, m.start()):
@@ -92,23 +99,71 @@ def _percent(layer: Layer, a: int, b: int) -> Layer | None:
         raw = layer.text[i].encode("utf-8", "replace")
         data += raw
         places += [(i, i + 1)] * len(raw)
-    return _decoded(layer, bytes(data), places)
+    return bytes(data), places
 
 
-def _decoded(layer: Layer, data: bytes, places: list[tuple[int, int]]) -> Layer | None:
-    """Layer of UTF-8 ``data`` whose byte i came from ``places[i]`` of ``layer``."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+def _decoded(layer: Layer, data: bytes, places: list[tuple[int, int]]) -> Layer:
+    """Layer of UTF-8 ``data`` whose byte i came from ``places[i]`` of ``layer``; other bytes become replacement characters."""
+    text = data.decode("utf-8", "surrogateescape")
     start, end, at = [], [], 0
     for c in text:
-        n = 1 if c < "\x80" else len(c.encode("utf-8"))
+        n = 1 if c < "\x80" or "\udc80" <= c <= "\udcff" else len(c.encode("utf-8"))
         s, e = layer.span(places[at][0], places[at + n - 1][1])
         start.append(s)
         end.append(e)
         at += n
-    return Layer(text, start, end)
+    return Layer(text.translate(ESCAPED_BYTES), start, end)
+
+
+def _wide(layer: Layer, data: bytes, places: list[tuple[int, int]], order: str) -> Layer:
+    """Layer of the 16-bit units of ``data``."""
+    text, start, end = [], [], []
+    for i in range(0, len(data) - 1, 2):
+        code = int.from_bytes(data[i : i + 2], order)
+        s, e = layer.span(places[i][0], places[i + 1][1])
+        text.append(chr(code) if not 0xD800 <= code < 0xE000 else "\ufffd")
+        start.append(s)
+        end.append(e)
+    return Layer("".join(text), start, end)
+
+
+def _members(data: bytes, most_bytes: int) -> tuple[list[tuple[int, int, bytes]], int]:
+    """(start, end, content) of the gzip and zlib members in ``data``, and the number of those too long to unpack."""
+    out, refused, at = [], 0, 0
+    while m := PACKED.search(data, at):
+        at = m.start() + 1
+        unpack = zlib.decompressobj(31 if m.group()[0] == 0x1F else 15)
+        content = b""
+        try:
+            content = unpack.decompress(data[m.start() :], most_bytes + 1)
+        except zlib.error:
+            continue
+        if len(content) > most_bytes:
+            refused += 1
+            continue
+        if content:
+            at = len(data) - len(unpack.unused_data)
+            out.append((m.start(), at, content))
+    return out, refused
+
+
+def _layers(layer: Layer, data: bytes, places: list[tuple[int, int]], most_bytes: int) -> tuple[list[Layer], int]:
+    """Layers of ``data`` as text and of all that is packed in it, at any depth, and the number of members refused."""
+    out, refused, work, seen = [], 0, [(data, places)], set()
+    while work:
+        data, places = work.pop()
+        mark = hashlib.blake2b(data, digest_size=16).digest()
+        if not data or mark in seen:
+            continue
+        seen.add(mark)
+        out.append(_decoded(layer, data, places))
+        if b"\0" in data:
+            out += [_wide(layer, data, places, order) for order in ("little", "big")]
+        members, n = _members(data, most_bytes)
+        refused += n
+        for s, e, content in members:
+            work.append((content, [(places[s][0], places[e - 1][1])] * len(content)))
+    return out, refused
 
 
 def _escaped(layer: Layer, a: int, b: int) -> Layer:
@@ -131,42 +186,23 @@ def _escaped(layer: Layer, a: int, b: int) -> Layer:
     return Layer("".join(text), start, end)
 
 
-def _unpacked(data: bytes, most_bytes: int) -> bytes | None:
-    """Content of gzip or zlib data; None if it is neither; OverflowError if it is too long."""
-    for bits in ((31,) if data[:2] == b"\x1f\x8b" else (15,) if data[:1] == b"\x78" else ()):
-        try:
-            unpack = zlib.decompressobj(bits)
-            out = unpack.decompress(data, most_bytes + 1)
-        except zlib.error:
-            return None
-        if len(out) > most_bytes:
-            raise OverflowError
-        return out
-    return None
-
-
-def _base64(layer: Layer, a: int, b: int, most_bytes: int) -> Layer | None:
-    raw = layer.text[a:b].rstrip("=")
-    if len(raw) % 4 == 1:
-        return None
+def _base64(text: str, a: int, b: int) -> tuple[bytes, list[tuple[int, int]]] | None:
+    """Bytes of the base64 characters in [a, b) of ``text``, line ends left out, and their places."""
+    raw, at = [], []
+    start = a
+    for m in [*SPACE.finditer(text, a, b), None]:
+        stop = m.start() if m else b
+        raw.append(text[start:stop])
+        at += range(start, stop)
+        start = m.end() if m else b
+    code = "".join(raw).rstrip("=")
+    code = code[: len(code) - (len(code) % 4 == 1)]
     try:
-        data = base64.b64decode(raw.replace("-", "+").replace("_", "/") + "=" * (-len(raw) % 4))
+        data = base64.b64decode(code.replace("-", "+").replace("_", "/") + "=" * (-len(code) % 4))
     except (binascii.Error, ValueError):
         return None
-    unpacked = _unpacked(data, most_bytes)
-    if unpacked is not None:
-        return _decoded(layer, unpacked, [(a, b)] * len(unpacked)) if _printable(unpacked) else None
-    if not _printable(data):
-        return None
-    return _decoded(layer, data, [(a + i // 3 * 4, min(b, a + i // 3 * 4 + 4)) for i in range(len(data))])
-
-
-def _printable(data: bytes) -> bool:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return False
-    return all(c.isprintable() or c in "\t\n\r" for c in text)
+    last = len(at) - 1
+    return data, [(at[i // 3 * 4], at[min(last, i // 3 * 4 + 3)] + 1) for i in range(len(data))]
 
 
 def scan(text: str | None, most_bytes: int = MOST_BYTES) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]], int, int]:
@@ -187,17 +223,23 @@ def scan(text: str | None, most_bytes: int = MOST_BYTES) -> tuple[list[tuple[int
                 a, b = layer.span(s, e)
                 spans.add((a, kind, b))
         t = layer.text
-        new = []
+        new, raw = [], []
         if "%" in t:
-            new += [_percent(layer, a, b) for a, b in _runs(t, PERCENT)]
+            raw += [_percent(layer, a, b) for a, b in _runs(t, PERCENT)]
         if "\\" in t or "&#" in t:
             new += [_escaped(layer, a, b) for a, b in _runs(t, ESCAPE)]
-        for m in BASE64.finditer(t):
-            try:
-                new.append(_base64(layer, m.start(), m.end(), most_bytes))
-            except OverflowError:
-                refused += 1
-        work.extend(x for x in new if x is not None and x.text)
+        if layer.start is not None and PACKED_TEXT.search(t):
+            # characters up to 255 as bytes, as escapes write them; no member goes through others
+            members, n = _members(t.encode("latin-1", "replace"), most_bytes)
+            refused += n
+            raw += [(content, [(s, e)] * len(content)) for s, e, content in members]
+        regions = {m.span() for found in (BASE64, WRAPPED) for m in found.finditer(t)}
+        raw += [x for a, b in sorted(regions) if (x := _base64(t, a, b))]
+        for data, places in raw:
+            found, n = _layers(layer, data, places, most_bytes)
+            refused += n
+            new += found
+        work.extend(x for x in new if x.text)
     return base, sorted(spans, key=lambda x: (x[0], KINDS.index(x[1]), x[2])), entered, refused
 
 

@@ -46,3 +46,25 @@ def test_empty_null_long_and_cycles(spark):
     assert by[1][0]["base_sha256"] == by[2][0]["base_sha256"]
     assert by[3][0]["n_assign"] == 1
     assert scan_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_layers_with_odd_bytes_are_scanned():
+    packed = gzip.compress(b"plain text") + gzip.compress(SECRET.encode())
+    wrapped = base64.encodebytes(("filler " * 20 + SECRET).encode()).decode()
+    for coded in (
+        base64.b64encode(f"caf\u00e9\u00a0{SECRET}".encode()).decode(),
+        base64.b64encode(b"\xff\xfe\x80 " + SECRET.encode()).decode(),
+        base64.b64encode(SECRET.encode("utf-16")).decode(),
+        "%E9" + "".join(f"%{b:02x}" for b in SECRET.encode()) + "%ff",
+        "".join(f"%{b:02x}" for b in gzip.compress(SECRET.encode())),
+        "".join(f"\\x{b:02x}" for b in gzip.compress(SECRET.encode())),
+        base64.b64encode(gzip.compress(gzip.compress(SECRET.encode()))).decode(),
+        base64.b64encode(packed).decode(),
+        base64.b64encode(gzip.compress(f"\u00a0{SECRET}\u200b".encode())).decode(),
+        wrapped,
+        wrapped.replace("\n", "\r\n"),
+    ):
+        text = f"before {coded} after"
+        found = [s for s in spans_of(text) if s[1] == "assign"]
+        assert found, coded
+        assert all(7 <= s < e <= 7 + len(coded) for s, _, e in found)
