@@ -4,8 +4,8 @@ Documents with the same set of word five-grams form a class.  Every class gets
 ``TREES`` labels of ``DEPTH`` one-byte MinHash values; a label prefix is a node
 of a prefix trie, and two classes that share a node are candidates.  The join
 starts at the deepest nodes, verifies what meets there exactly, and shortens
-the prefixes until the recall that the found similarities imply (one over the
-chance to meet, per link) reaches the target.
+the prefixes until a pair right at the threshold meets with the target's chance,
+whatever other pairs the table holds.
 
 A pair is verified once, in the first tree where it meets.  Nodes with many
 members are cut into blocks, and pairs of blocks go to different tasks, which
@@ -170,25 +170,22 @@ def _verified(depth: int, deeper: int, threshold: float):
                 continue
             j = _similar(sets, first, second)
             ok = j >= threshold - 1e-12
-            first, second, j = first[ok], second[ok], j[ok]
+            first, second = first[ok], second[ok]
             if not len(first):
                 continue
             links = np.bincount(first, size[second], m) + np.bincount(second, size[first], m)
-            chance = 1 - (1 - j**depth) ** TREES
-            weight = np.bincount(first, 1 / chance, m)
-            pairs = np.bincount(first, minlength=m)
             order = np.array(sorted(range(m), key=cls.__getitem__))
             rank = np.empty(m, np.int64)
             rank[order] = np.arange(m)
             root = order[_roots(m, rank[first], rank[second])][rank]
             at = np.flatnonzero(links)
-            yield pa.record_batch([pa.array([cls[i] for i in at], pa.binary()), pa.array([cls[root[i]] for i in at], pa.binary()), pa.array(links[at].astype(np.int64)), pa.array(pairs[at].astype(np.int64)), pa.array(weight[at])], names=["cls", "root", "links", "pairs", "weight"])
+            yield pa.record_batch([pa.array([cls[i] for i in at], pa.binary()), pa.array([cls[root[i]] for i in at], pa.binary()), pa.array(links[at].astype(np.int64))], names=["cls", "root", "links"])
 
     return run
 
 
 def _round(classes: DataFrame, docs: DataFrame, depth: int, deeper: int, threshold: float) -> DataFrame:
-    """(cls, root, links, pairs, weight) of links between classes that first meet at nodes of ``depth``."""
+    """(cls, root, links) of links between classes that first meet at nodes of ``depth``."""
     trees = classes.select("cls", "label", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     nodes = trees.select("cls", "tree", F.xxhash64("tree", F.expr(f"substring(label, tree * {DEPTH} + 1, {depth})")).alias("node"))
     crowded = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
@@ -205,7 +202,7 @@ def _round(classes: DataFrame, docs: DataFrame, depth: int, deeper: int, thresho
     sets = texts.mapInArrow(_set_batches, "cls binary, shingles binary").dropDuplicates(["cls"])
     full = needed.join(classes.select("cls", "label", "size"), "cls").join(sets, "cls")
     full = full.select("part", "tree", "side", "cls", "label", "size", "shingles").repartition("part").sortWithinPartitions("part")
-    return written(full.mapInArrow(_verified(depth, deeper, threshold), "cls binary, root binary, links long, pairs long, weight double"), "forest-links")
+    return written(full.mapInArrow(_verified(depth, deeper, threshold), "cls binary, root binary, links long"), "forest-links")
 
 
 def link(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
@@ -223,10 +220,8 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET)
     while True:
         new = _round(classes, docs, depth, deeper, threshold)
         links = new if links is None else links.union(new)
-        sums = links.agg(F.sum("pairs").alias("n"), F.sum("weight").alias("all")).first()
         worst = 1 - (1 - threshold**depth) ** TREES
-        recall = sums["n"] / sums["all"] if sums["n"] else worst
-        if recall >= target or worst >= target or depth <= LEAST_DEPTH:
+        if worst >= target or depth <= LEAST_DEPTH:
             break
         depth, deeper = depth - 1 - (worst < 0.99), depth
     counts = links.groupBy("cls").agg(F.sum("links").alias("links"))

@@ -53,3 +53,14 @@ def test_one_of_each_group_stays(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, (1, 2, 3, 4, 5, None, 6, 8)))
     assert N.link(no_docs).count() == 0 and N.keep_one(no_docs).count() == 0
+
+
+def test_a_hot_group_leaves_no_borderline_pair_out(spark):
+    rows = []
+    for g in range(400):
+        words = [f"g{g}w{k}" for k in range(104)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(words[:93] + [f"g{g}x{k}" for k in range(11)]))]
+    hot = [f"h{k}" for k in range(300)]
+    rows += [(10_000 + i, " ".join([*hot, f"last{i}"])) for i in range(200)]
+    out = {r["doc_id"]: (r["n_links"], r["component_id"]) for r in N.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {i: (1, i - i % 2) if i < 10_000 else (199, 10_000) for i, _ in rows}
