@@ -1,5 +1,8 @@
 import base64
 import gzip
+import hashlib
+import re
+import time
 import urllib.parse
 
 from millrace.llm.secrets import scan, scan_secrets
@@ -68,3 +71,45 @@ def test_layers_with_odd_bytes_are_scanned():
         found = [s for s in spans_of(text) if s[1] == "assign"]
         assert found, coded
         assert all(7 <= s < e <= 7 + len(coded) for s, _, e in found)
+
+
+def test_runs_at_any_alignment_and_of_any_kind():
+    coded = base64.b64encode(SECRET.encode()).decode()
+    for text in (
+        f"data/{coded}", f"x-{coded}", "%FF" + "".join(f"%{b:02x}" for b in SECRET.encode()), "".join(f"%u{ord(c):04x}" for c in SECRET),
+        base64.b64encode(b"x" + SECRET.encode("utf-16-le")).decode(), "".join(f"%2525{b:02x}" for b in SECRET.encode()), "".join(f"\\u0026#37;{b:02x}" for b in SECRET.encode()),
+        base64.b64encode(gzip.compress(b"a b " * 3_000_000 + SECRET.encode())).decode(),
+    ):
+        assert any(kind == "assign" for _, kind, _ in spans_of(text)), text[:60]
+
+
+def test_time_grows_with_the_length():
+    for text in ("%" + "25" * 150_000, "\\u005c" + "u005c" * 30_000, "&#38;" + "#38;" * 30_000, "QUFB" * 50_000, "x\x9c" * 50_000):
+        began = time.perf_counter()
+        scan(text)
+        assert time.perf_counter() - began < 20, text[:20]
+
+
+def plain_spans(text):
+    """The contract's patterns as they are written."""
+    found = [("assign", m.span()) for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 12]
+    found += [("access", m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [("hex", m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted((s, ("assign", "access", "hex").index(k), k, e) for k, (s, e) in found)
+
+
+def test_documents_against_plain_patterns(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = scan_secrets(docs).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = plain_spans(texts[r["doc_id"]])
+        names = [f"{k}:{s}:{e}" for s, _, k, e in want]
+        assert r["base_sha256"] == hashlib.sha256(",".join(names).encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == kind for _, _, k, _ in want) for kind in ("assign", "access", "hex")]
+        assert set(names) <= set(r["spans"].split(","))
+
+
+def test_clashing_columns(odd_docs):
+    assert scan_secrets(odd_docs).count() == odd_docs.count()
