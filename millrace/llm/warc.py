@@ -6,15 +6,25 @@ record's headers are parsed first, and the payload of a record that does not
 qualify, or whose schema asks for no payload column, is skipped by seeking.
 
 Writing makes gzip members, one a record, each with a skip length in its gzip
-header ("sl" extra field), under names of their own; the driver's commit lists
-the files of successful tasks in a manifest, so that repeated or failed tasks
-leave nothing that a reader would see.  Archives of others, plain or gzip,
-without manifest or skip lengths, can be read as well.
+header ("sl" extra field), under names of their own; each commit of the driver
+lists the files of successful tasks in a manifest of its own, so that repeated or
+failed tasks leave nothing that a reader would see.  A reader sees the files of
+all manifests; mode "append" adds one, mode "overwrite" takes the others away.
+
+Archives of others, plain or gzip, without manifest or skip lengths, can be read
+as well, one partition a file.  ``option("splitMembers", "true")`` cuts gzip files
+at members that begin with a record; it is off by default, since a payload that
+is an archive itself could look like such a member.  A record with a header that
+is malformed or has no valid Content-Length comes with null content_length and
+null payload, and reading goes on at the next record or member.
 
 Defined cases: a null page is an empty payload; a null id leaves the id header
 out and reads back as null; among equal payloads the largest id is the response
 (rows that repeat that id are responses as well); with null ids only, all are
-responses; an empty table gives a manifest without files.
+responses; an empty table gives a manifest without files; other columns, whatever
+their names, are ignored; payloads of any size are read in linear time, whole in
+memory one at a time (a gzip member's lengths are 32 bits: 4 GB at most).
+``register`` turns on Spark's filter push-down to Python sources for the session.
 """
 
 from __future__ import annotations
@@ -48,9 +58,9 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from millrace.llm.common import file_system, read, shared_dir
+from millrace.llm.common import file_system, put_file, read, shared_dir
 
-MANIFEST = "_records.json"
+MANIFEST = "_records"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SPLIT_BYTES = 16 << 20
 #: Columns a reader can give; those from the payload need its bytes, the others need headers only.
@@ -91,10 +101,11 @@ class Split(InputPartition):
     path: str
     start: int
     end: int | None
+    search: bool
 
-    def __init__(self, path: str, start: int, end: int | None):
+    def __init__(self, path: str, start: int, end: int | None, search: bool = False):
         super().__init__((path, start, end))
-        self.path, self.start, self.end = path, start, end
+        self.path, self.start, self.end, self.search = path, start, end, search
 
 
 @dataclass
@@ -108,21 +119,25 @@ class Written(WriterCommitMessage):
 class Stream:
     """Plain bytes of a file from an offset; knows where gzip members begin and can step over the rest of one."""
 
-    def __init__(self, file, at: int, end: int):
+    def __init__(self, file, at: int, end: int, search: bool = False):
         self.file, self.at, self.end = file, at, end
-        file.seek(at)
+        self.buffer, self.pos, self.raw, self.unpack, self.next = b"", 0, b"", None, None
+        file.seek(0)
         self.packed = file.read(2) == b"\x1f\x8b"
         file.seek(at)
-        self.buffer, self.raw, self.unpack, self.next = b"", b"", None, None
+        if search and at and self.packed:
+            self._seek_member()
 
     def begin(self) -> bool:
         """To the start of the next record; False at the end of the split."""
         if not self.packed:
-            start = self.at - len(self.buffer)
-            return start < self.end and self._fill(1)
-        if self.buffer:  # several records in one member
+            return self.at - (len(self.buffer) - self.pos) < self.end and self._fill(1)
+        if self._fill(1):  # several records in one member
             return True
-        return self._member()
+        while self._member():
+            if self._fill(1):
+                return True
+        return False
 
     def _member(self) -> bool:
         start = self.at - len(self.raw)
@@ -135,53 +150,107 @@ class Stream:
             return False
         self.next = start + struct.unpack_from("<I", self.raw, 16)[0] if len(self.raw) >= 24 and self.raw[3] & 4 and self.raw[12:14] == b"sl" else None
         self.unpack = zlib.decompressobj(31)
-        return self._fill(1)
+        return True
 
-    def _fill(self, n: int) -> bool:
-        """At least n bytes in the buffer, if there are so many."""
-        while len(self.buffer) < n:
-            if not self.packed:
-                more = self.file.read(max(1 << 16, n - len(self.buffer)))
+    def _seek_member(self) -> None:
+        """To the next place where a gzip member with a record begins."""
+        while True:
+            i = self.raw.find(b"\x1f\x8b\x08")
+            if i < 0 or len(self.raw) - i < 1 << 10:
+                more = self.file.read(1 << 16)
                 self.at += len(more)
-                if not more:
-                    return False
-                self.buffer += more
-                continue
-            if self.unpack is None or self.unpack.eof:
-                return False
+                if more:
+                    self.raw = self.raw[i:] + more if i >= 0 else self.raw[-2:] + more
+                    continue
+                if i < 0:
+                    self.raw = b""
+                    return
+            try:
+                if zlib.decompressobj(31).decompress(self.raw[i : i + (1 << 10)], 5) == b"WARC/":
+                    self.raw = self.raw[i:]
+                    return
+            except zlib.error:
+                pass
+            self.raw = self.raw[i + 1 :]
+
+    def _more(self, want: int) -> bytes:
+        """Further plain bytes, none at the end of the file or member."""
+        if not self.packed:
+            more = self.file.read(max(1 << 16, want))
+            self.at += len(more)
+            return more
+        while self.unpack is not None and not self.unpack.eof:
             if not self.raw:
                 self.raw = self.file.read(1 << 16)
                 self.at += len(self.raw)
+            try:
                 if not self.raw:
-                    return False
-            parts = [self.buffer, self.unpack.decompress(self.raw)]
-            self.raw = self.unpack.unused_data if self.unpack.eof else b""
-            self.buffer = b"".join(parts)
-        return True
+                    rest, self.unpack = self.unpack.flush(), None
+                    return rest
+                out = self.unpack.decompress(self.raw, max(1 << 14, want))
+            except zlib.error:  # a broken member ends here; the next one is looked for
+                self.raw, self.unpack, self.next = self.raw[1:], None, None
+                self._seek_member()
+                return b""
+            self.raw = self.unpack.unused_data if self.unpack.eof else self.unpack.unconsumed_tail
+            if out:
+                return out
+        return b""
+
+    def _fill(self, n: int) -> bool:
+        """At least n bytes in the buffer, if there are so many; parts are joined once."""
+        have = len(self.buffer) - self.pos
+        if have >= n:
+            return True
+        parts = [self.buffer[self.pos :]]
+        while have < n and (more := self._more(n - have)):
+            parts.append(more)
+            have += len(more)
+        self.buffer, self.pos = b"".join(parts), 0
+        return have >= n
 
     def until(self, mark: bytes) -> bytes | None:
-        while (i := self.buffer.find(mark)) < 0:
-            if not self._fill(len(self.buffer) + 1):
+        seen = 0
+        while (i := self.buffer.find(mark, self.pos + seen)) < 0:
+            have = len(self.buffer) - self.pos
+            seen = max(0, have - len(mark))
+            if not self._fill(max(have + 1, 2 * have)) and len(self.buffer) - self.pos == have:
                 return None
-        out, self.buffer = self.buffer[:i], self.buffer[i + len(mark) :]
+        out, self.pos = self.buffer[self.pos : i], i + len(mark)
         return out
 
     def take(self, n: int) -> bytes:
         self._fill(n)
-        out, self.buffer = self.buffer[:n], self.buffer[n:]
+        out = self.buffer[self.pos : self.pos + n]
+        self.pos += len(out)
         return out
 
     def skip(self, n: int) -> None:
         """Over the rest of a record of which n bytes are left."""
         if self.packed and self.next is not None:
             self.file.seek(self.next)
-            self.at, self.buffer, self.raw, self.unpack = self.next, b"", b"", None
-        elif not self.packed and n > len(self.buffer):
-            self.at += n - len(self.buffer)
+            self.at, self.buffer, self.pos, self.raw, self.unpack = self.next, b"", 0, b"", None
+            return
+        here = min(n, len(self.buffer) - self.pos)
+        self.pos += here
+        n -= here
+        if not self.packed:
+            self.at += n
             self.file.seek(self.at)
-            self.buffer = b""
+            return
+        while n > 0 and self._fill(1):
+            here = min(n, len(self.buffer) - self.pos)
+            self.pos += here
+            n -= here
+
+    def resume(self) -> None:
+        """After a malformed record: to what looks like the next record of the member or plain file, or behind it."""
+        if self.packed and self.next is not None:
+            self.skip(0)
+        elif self.until(b"\r\n\r\nWARC/") is not None:
+            self.pos -= 5
         else:
-            self.take(n)
+            self.pos = len(self.buffer)
 
 
 def _page(text: str | None) -> int | None:
@@ -189,38 +258,52 @@ def _page(text: str | None) -> int | None:
     return int(text[len(URN) :]) if text.startswith(URN) and text[len(URN) :].lstrip("-").isdigit() else None
 
 
-def records(file, start: int, end: int, wanted, payload: bool) -> Iterator[dict]:
+def records(file, start: int, end: int, wanted, payload: bool, search: bool = False) -> Iterator[dict]:
     """Records that begin in [start, end) and whose header columns ``wanted`` accepts."""
-    stream = Stream(file, start, end)
+    stream = Stream(file, start, end, search)
     while stream.begin():
         head = stream.until(b"\r\n\r\n")
         if head is None:
-            return
+            stream.pos = len(stream.buffer)
+            if not stream.packed:
+                return
+            continue
         fields = {}
         for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
             name, _, value = line.partition(":")
             fields[name.strip().lower()] = value.strip()
-        length = int(fields.get("content-length", 0))
+        size = fields.get("content-length", "0")
+        length = int(size) if size.isascii() and size.isdigit() else None
+        sound = length is not None and head.startswith(b"WARC/")
         row = {
             "record_type": fields.get("warc-type"), "record_id": fields.get("warc-record-id"), "target_uri": fields.get("warc-target-uri"), "date": fields.get("warc-date"), "page_id": _page(fields.get("warc-record-id")),
-            "refers_to": _page(fields.get("warc-refers-to")), "header_digest": (fields.get("warc-payload-digest") or "").rpartition(":")[2] or None, "content_length": length, "headers": fields,
+            "refers_to": _page(fields.get("warc-refers-to")), "header_digest": (fields.get("warc-payload-digest") or "").rpartition(":")[2] or None, "content_length": length if sound else None, "headers": fields,
         }
+        if not sound:
+            stream.resume()
+            if wanted(row):
+                yield row
+            continue
         if not wanted(row):
             stream.skip(length + 4)
             continue
         is_http = fields.get("content-type", "").startswith("application/http")
-        if is_http and not payload:
-            http = stream.until(b"\r\n\r\n") or b""
-            stream.skip(length - len(http) - 4 + 4)
-            body = None
-        elif payload:
+        body, http = None, b""
+        if payload:
             block = stream.take(length)
             http, _, body = block.partition(b"\r\n\r\n") if is_http else (b"", b"", block)
             stream.skip(4)
+        elif is_http:
+            # no farther than the block goes, for it may lack the empty line
+            block = stream.take(min(length, 1 << 10))
+            while b"\r\n\r\n" not in block and len(block) < length and (more := stream.take(min(length - len(block), 1 << 14))):
+                block += more
+            http = block.partition(b"\r\n\r\n")[0]
+            stream.skip(length - len(block) + 4)
         else:
-            http, body = b"", None
             stream.skip(length + 4)
-        row["header_length"] = next((int(x.partition(b":")[2]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), None if is_http else length)
+        sizes = [x.partition(b":")[2].strip() for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
+        row["header_length"] = (int(sizes[0]) if sizes and sizes[0].isdigit() else None) if is_http else length
         if body is not None:
             row |= {"payload": body, "payload_bytes": len(body), "payload_digest": digest(body)}
         yield row
@@ -232,9 +315,21 @@ _TESTS = {
 }
 
 
+def _manifests(system, folder: str) -> list[str]:
+    from pyarrow import fs
+
+    found = system.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if system.get_file_info(folder).type == fs.FileType.Directory else []
+    return sorted(x.path for x in found if x.base_name.startswith(MANIFEST) and x.base_name.endswith(".json"))
+
+
+def _listed(system, manifest: str) -> list[dict]:
+    with system.open_input_stream(manifest) as f:
+        return json.loads(f.read())
+
+
 class WarcReader(DataSourceReader):
-    def __init__(self, schema: StructType, path: str):
-        self.names, self.path, self.tests = schema.names, path, []
+    def __init__(self, schema: StructType, path: str, split_members: bool):
+        self.names, self.path, self.split_members, self.tests = schema.names, path, split_members, []
 
     def pushFilters(self, filters):
         for f in filters:
@@ -248,15 +343,17 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         system, folder = file_system(self.path)
+        files = [x for m in _manifests(system, folder) for x in _listed(system, m)]
+        if files or _manifests(system, folder):
+            return [Split(f"{folder}/{x['name']}", a, b) for x in files for a, b in zip(x["splits"], [*x["splits"][1:], x["size"]], strict=True)] or [Split("", 0, 0)]
         from pyarrow import fs
 
-        if system.get_file_info(f"{folder}/{MANIFEST}").type == fs.FileType.File:
-            with system.open_input_stream(f"{folder}/{MANIFEST}") as f:
-                files = json.loads(f.read())
-            out = [Split(f"{folder}/{x['name']}", a, b) for x in files for a, b in zip(x["splits"], [*x["splits"][1:], x["size"]], strict=True)]
-        else:
-            found = system.get_file_info(fs.FileSelector(folder, recursive=True)) if system.get_file_info(folder).type == fs.FileType.Directory else [system.get_file_info(folder)]
-            out = [Split(x.path, 0, x.size) for x in found if x.path.endswith((".warc", ".warc.gz"))]
+        found = system.get_file_info(fs.FileSelector(folder, recursive=True)) if system.get_file_info(folder).type == fs.FileType.Directory else [system.get_file_info(folder)]
+        out = []
+        for x in found:
+            if x.path.endswith((".warc", ".warc.gz")):
+                step = SPLIT_BYTES if self.split_members and x.path.endswith(".gz") else max(1, x.size)
+                out += [Split(x.path, at, min(x.size, at + step), True) for at in range(0, max(1, x.size), step)]
         return out or [Split("", 0, 0)]
 
     def read(self, split: Split):
@@ -269,13 +366,13 @@ class WarcReader(DataSourceReader):
 
         system, _ = file_system(self.path)
         with system.open_input_file(split.path) as f:
-            for row in records(f, split.start, split.end, wanted, any(n in PAYLOAD_COLUMNS for n in self.names)):
+            for row in records(f, split.start, split.end, wanted, any(n in PAYLOAD_COLUMNS for n in self.names), split.search):
                 yield tuple(row.get(n) for n in self.names)
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, overwrite: bool):
+        self.path, self.overwrite = path, overwrite
 
     def write(self, iterator):
         system, folder = file_system(self.path)
@@ -301,8 +398,13 @@ class WarcWriter(DataSourceArrowWriter):
         system, folder = file_system(self.path)
         system.create_dir(folder, recursive=True)
         files = [{"name": m.name, "records": m.records, "splits": m.splits, "size": m.size} for m in messages if m and m.name]
-        with system.open_output_stream(f"{folder}/{MANIFEST}") as out:
-            out.write(json.dumps(files).encode())
+        old = _manifests(system, folder) if self.overwrite else []
+        put_file(self.path, f"{MANIFEST}-{uuid.uuid4().hex}.json", json.dumps(files).encode())
+        for manifest in old:  # first out of sight, then gone
+            names = [x["name"] for x in _listed(system, manifest)]
+            system.delete_file(manifest)
+            for name in names:
+                system.delete_file(f"{folder}/{name}")
 
     def abort(self, messages):
         system, folder = file_system(self.path)
@@ -322,10 +424,10 @@ class WarcDataSource(DataSource):
         return ", ".join(f"{n} {t}" for n, t in (HEADER_COLUMNS | PAYLOAD_COLUMNS).items())
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return WarcReader(schema, self.options["path"])
+        return WarcReader(schema, self.options["path"], self.options.get("splitMembers", "false").lower() == "true")
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], overwrite)
 
 
 def register(spark) -> None:
