@@ -22,4 +22,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"secret_base_spans": secrets.BASE_ORACLE, "op5_warc_source": warc.ORACLE, "op7_nn_descent": vector_duplicates.ORACLE, "op9_positional_index": decontaminate.ORACLE, "op10_weighted_fair_mix": mixing.ORACLE}
+    return {"secret_base_spans": secrets.BASE_ORACLE, "op5_warc_source": warc.ORACLE, "op6_lsh_forest_join": near_duplicates.ORACLE, "op7_nn_descent": vector_duplicates.ORACLE, "op9_positional_index": decontaminate.ORACLE, "op10_weighted_fair_mix": mixing.ORACLE}

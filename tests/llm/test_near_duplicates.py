@@ -1,6 +1,8 @@
 import random
 from collections import Counter, defaultdict
 
+import pytest
+
 from millrace.llm import near_duplicates as N
 
 
@@ -64,3 +66,25 @@ def test_a_hot_group_leaves_no_borderline_pair_out(spark):
     rows += [(10_000 + i, " ".join([*hot, f"last{i}"])) for i in range(200)]
     out = {r["doc_id"]: (r["n_links"], r["component_id"]) for r in N.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out == {i: (1, i - i % 2) if i < 10_000 else (199, 10_000) for i, _ in rows}
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    text, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(3, text, "a"), (5, text, "b"), (5, other, "c"), (7, other + " more", "z"), (7, other + " more", "y"), (8, "alone here", "q"), (8, "alone here", "p"), (9, text, "r"), (None, other, "n"), (None, other, "n")]
+    kept = N.keep_one(spark.createDataFrame(rows, "doc_id long, text string, cls string")).collect()
+    assert sorted(((r["doc_id"] or 0, r["text"], r["cls"]) for r in kept)) == sorted([(3, text, "a"), (5, other, "c"), (8, "alone here", "p"), (0, other, "n"), (0, other, "n")])
+
+
+def test_depths_meet_the_target_or_are_refused():
+    for threshold in (0.95, 0.8, 0.5, 0.3):
+        assert 1 - (1 - threshold ** N.depths(threshold)[-1]) ** N.TREES >= N.TARGET
+    with pytest.raises(ValueError):
+        N.depths(0.1)
+
+
+def test_audit_measures_recall(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    found = N.link(docs).cache()
+    assert N.audit(docs, found, every=1) == 1.0
+    assert N.audit(docs, found.withColumn("n_links", N.F.lit(0)), every=1) == 0.0
+    assert N.audit(docs.where("doc_id < 0"), found) is None
