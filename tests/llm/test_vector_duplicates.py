@@ -50,3 +50,37 @@ def test_links_between_groups_whose_lists_stay_inside(spark):
     rows += [(1000 + i, v.tolist(), 0) for i, v in enumerate(rng.normal(size=(90, 64)))]
     out = V.link(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out} == {i: (int((s[i] >= V.THRESHOLD).sum()), 0) if i < 400 else (0, i) for i, _, _ in rows}
+
+
+def test_many_vectors_equal_brute_force(spark):
+    """Hyperplane cells are in use, groups saturate both list lengths, pairs lie right above and below the threshold."""
+    rng = np.random.default_rng(8)
+    x, label = [rng.normal(size=64) for _ in range(3000)], list(rng.integers(0, 3, 3000))
+    for i in range(400):  # pairs at a given cosine
+        a, side = x[i] / np.linalg.norm(x[i]), rng.normal(size=64)
+        side -= (side @ a) * a
+        c = rng.uniform(0.92, 0.96)
+        x.append(c * a + np.sqrt(1 - c * c) * side / np.linalg.norm(side))
+        label.append(label[i])
+    for size, spread in ((25, 0.02), (120, 0.025), (300, 0.015), (30, 0.035), (700, 0.04)):
+        center = rng.normal(size=64)
+        center /= np.linalg.norm(center)
+        x += [center + rng.normal(size=64) * spread for _ in range(size)]
+        label += [1] * size
+    rows = [(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, label, strict=True))]
+    out = {r["vec_id"]: r for r in V.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("node", V.F.lit(1)).withColumn("unit", V.F.lit(1))).collect()}
+    u = np.array(x) / np.linalg.norm(x, axis=1)[:, None]
+    link = (u @ u.T >= V.THRESHOLD) & (np.array(label)[:, None] == np.array(label)[None, :])
+    np.fill_diagonal(link, False)
+    found = sum(min(out[i]["n_links"], int(n)) for i, n in enumerate(link.sum(1)))
+    assert found >= 0.999 * link.sum()
+    assert all(out[i]["n_links"] <= n for i, n in enumerate(link.sum(1)))
+    assert out[0]["recall"] >= 0.99
+    root = V._roots(len(x), *np.nonzero(link))
+    assert sum(out[i]["component_id"] == root[i] for i in range(len(x))) >= 0.995 * len(x)
+
+
+def test_recall_is_null_where_nothing_is_measured(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).tolist() if i else None, 0) for i in range(1, 40)]
+    assert {r["recall"] for r in V.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()} == {None}
