@@ -1,44 +1,50 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer network.
 
 Random indexing: a word's index vector is a sparse ternary vector derived from
-its hash; its meaning vector is its own index vector plus those of its
-neighbours in the sampled corpus.  A word outside the sampled vocabulary falls
-back to its shape (letter case, digits, punctuation at its end, length), which
-has a meaning vector of its own.  A document is pooled twice, over its tokens
-and over its distinct words, beside a few ratios (distinct words, repeated
-lines, length).  A two-layer numpy network maps that to a probability, which a
-temperature fitted on rows apart from its training rows calibrates.
-
-Fitting reads a bounded sample of the labelled training rows (``fit_rows`` rows
-and ``fit_chars`` characters, whole texts in hash order); scoring reads every
-whole text.  Labels, language, source and ids are no inputs of a score.
+its hash; its meaning vector is its own index vector, that of its shape, and the
+mean of those of its neighbours in the fitting texts.  Every word of the fitting
+texts has a vector, without a cut by rank or count.  A word that they lack is
+known by its shape (letter case, digits, punctuation at its end, length; of the
+whole word), which has a meaning vector of its own.  A document is pooled twice,
+over its tokens and over its distinct words, beside a few ratios (distinct words,
+repeated words and lines, length).  A two-layer numpy network maps that to a
+probability, which a temperature fitted on rows apart from its training rows
+calibrates.
+
+The classifier, word vectors included, is fitted on a bounded sample of the
+labelled training rows (``fit_rows`` rows and ``fit_chars`` characters, whole
+texts in hash order of the ids up to the first that passes the bound); scoring
+reads every whole text.  Labels, language, source and ids are no inputs of a
+score.
 
 Defined cases: a null text counts as empty, empty texts are scored like any
-other, labels without a text or with a null label are not used, with no
-labelled row every score is 0.5, repeated rows are scored each.
+other; labels without a text or with a null label are not used, of repeated
+labels of an id the least counts; of repeated ids among the fitting rows one text
+is fitted on, each row is scored; with no labelled row every score is 0.5; a null
+id is not held out; an empty table gives an empty result; an input column
+quality_score gives way to the score, other columns are kept.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import read
+from millrace.llm.common import mix, read
 
 DIM = 64
-VOCABULARY = 20_000
+NONZERO = 8
 FIT_ROWS, FIT_CHARS = 3_000, 9_000_000
 HIDDEN, EPOCHS, SEED = 32, 60, 11
 
 
 def shape(word: str) -> str:
     """Class of a word by its look."""
-    core = re.sub(r"[^\W\d_]", "a", word.strip("\"'.,;:()")[:24])
+    core = re.sub(r"[^\W\d_]", "a", word.strip("\"'.,;:()"))
     case = "U" if word.isupper() and len(word) > 1 else "T" if word[:1].isupper() else "l"
     tail = re.search(r"[^\w]{1,3}$", word)
     kind = "a" if core and not core.strip("a") else "0" if re.fullmatch(r"[\d.,-]+", word) else "p" if not re.search(r"\w", word) else "m"
@@ -60,42 +66,54 @@ class Vectors(dict):
         return row
 
 
-def index_vectors(names: list[str], dim: int = DIM, nonzero: int = 8) -> np.ndarray:
-    """Sparse ternary vectors, each a function of its name alone."""
+def index_vectors(names: list[str], dim: int = DIM) -> np.ndarray:
+    """Sparse ternary vectors, each a function of its name's hash alone: ``NONZERO`` places, added where two fall together."""
     import xxhash
 
+    hashes = np.array([xxhash.xxh64_intdigest(n, 5) for n in names], np.uint64)
     out = np.zeros((len(names), dim), np.float32)
-    for i, name in enumerate(names):
-        rng = np.random.default_rng(xxhash.xxh64_intdigest(name, 5))
-        out[i, rng.choice(dim, nonzero, replace=False)] = rng.choice((-1.0, 1.0), nonzero)
+    rows = np.arange(len(names))
+    with np.errstate(over="ignore"):
+        for k in range(NONZERO):
+            h = mix(hashes + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15))
+            out[rows, (h % np.uint64(dim)).astype(np.int64)] += np.where(h >> np.uint64(63), np.float32(1), np.float32(-1))
     return out
 
 
-def fit_vectors(texts: list[str], dim: int = DIM, vocabulary: int = VOCABULARY, window: int = 2) -> Vectors:
+def _neighbour_means(texts: list[np.ndarray], base: np.ndarray, window: int) -> np.ndarray:
+    """Mean of the vectors of all words at most ``window`` places away, for each word."""
+    n = len(base)
+    pairs = [np.zeros(0, np.int64)]
+    for ids in texts:
+        for step in range(1, window + 1):
+            pairs += [ids[:-step] * n + ids[step:], ids[step:] * n + ids[:-step]]
+    pairs, times = np.unique(np.concatenate(pairs), return_counts=True)
+    word, other = np.divmod(pairs, n)
+    near, seen = np.zeros_like(base), np.bincount(word, times, n)
+    for at in range(0, len(pairs), 200_000):  # sums of runs of one word
+        w, part = word[at : at + 200_000], base[other[at : at + 200_000]] * times[at : at + 200_000, None].astype(np.float32)
+        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+        near[w[first]] += np.add.reduceat(part, first, axis=0)
+    return near / np.maximum(seen, 1)[:, None].astype(np.float32)
+
+
+def fit_vectors(texts: list[str], dim: int = DIM, window: int = 2) -> Vectors:
     split = [t.split() for t in texts]
-    counts, shapes = Counter(), Counter()
-    for w in split:
-        counts.update(w)
-    kept = [w for w, n in counts.most_common(vocabulary) if n >= 3]
-    for w, n in counts.items():
-        shapes[shape(w)] += n
-    names = ["\x00", *sorted(shapes), *kept]
+    kept = sorted({w for t in split for w in t})
+    of_word = list(map(shape, kept))
+    names = ["\x00", *sorted(set(of_word)), *kept]
     rows = {w: i for i, w in enumerate(names)}
-    own = index_vectors(names, dim)
-    shape_row = np.array([rows.get(shape(w), 0) if i > len(shapes) else i for i, w in enumerate(names)])
-    base = own + np.where((shape_row != np.arange(len(names)))[:, None], own[shape_row], 0)
-    near, seen = np.zeros_like(base), np.zeros(len(names), np.float32)
-    vectors = Vectors(rows, base)
-    for w in split:
-        ids = np.fromiter(map(vectors.__getitem__, w), np.int64, len(w))
-        for step in range(1, window + 1):
-            if len(ids) > step:
-                np.add.at(near, ids[:-step], base[ids[step:]])
-                np.add.at(near, ids[step:], base[ids[:-step]])
-                np.add.at(seen, ids[:-step], 1)
-                np.add.at(seen, ids[step:], 1)
-    vectors.table = (base + near / np.maximum(seen, 1)[:, None]).astype(np.float32)
-    return vectors
+    base = index_vectors(names, dim)
+    base[len(names) - len(kept) :] += base[[rows[x] for x in of_word]]
+    ids = [np.fromiter(map(rows.__getitem__, t), np.int64, len(t)) for t in split]
+    near = _neighbour_means(ids, base, window)
+    # a shape means what its words mean on average
+    words = np.bincount(np.concatenate(ids) if ids else np.zeros(0, np.int64), minlength=len(names))[len(names) - len(kept) :]
+    shapes = np.array([rows[x] for x in of_word], np.int64)
+    total = np.bincount(shapes, words, len(names))
+    for d in range(dim):
+        near[:, d] += np.bincount(shapes, near[len(names) - len(kept) :, d] * words, len(names)) / np.maximum(total, 1)
+    return Vectors(rows, (base + near).astype(np.float32))
 
 
 def features(text: str | None, vectors: Vectors) -> np.ndarray:
@@ -182,19 +200,22 @@ def sample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_cha
     """Whole texts and labels of training rows (crc32 of the id mod 3 is not 1), in hash order up to both bounds."""
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
-    order = F.xxhash64("doc_id").alias("at")
-    first = known.select("doc_id", "quality", order).orderBy("at", "doc_id").limit(2 * fit_rows)
-    sized = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n")).join(F.broadcast(first), "doc_id").select("doc_id", "quality", "at", "n").orderBy("at", "doc_id", "n").limit(fit_rows).collect()
+    first = known.select("doc_id", "quality", F.xxhash64("doc_id").alias("at")).orderBy("at", "doc_id").limit(2 * fit_rows)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # of an id's texts the one with the least hash
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), F.length("text").alias("n"))).alias("one")
+    sized = texts.join(F.broadcast(first), "doc_id").groupBy("doc_id", "quality", "at").agg(one).orderBy("at", "doc_id").limit(fit_rows).collect()
     chosen, total = [], 0
     for r in sized:
-        if total + r["n"] <= fit_chars:
-            total += r["n"]
-            chosen.append((r["doc_id"], r["quality"]))
+        total += r["one"]["n"]
+        if total > fit_chars:
+            break
+        chosen.append((r["doc_id"], r["quality"], r["one"]["hash"]))
     if not chosen:
         return pd.DataFrame({"text": [], "quality": []})
-    picked = docs.sparkSession.createDataFrame(sorted(set(chosen)), "doc_id long, quality int")
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "quality").limit(fit_rows).toPandas()
-    return rows.sort_values(["doc_id", "text"], kind="stable").reset_index(drop=True)
+    picked = docs.sparkSession.createDataFrame(chosen, "doc_id long, quality int, hash long")
+    rows = texts.withColumn("hash", F.xxhash64("text")).join(F.broadcast(picked), ["doc_id", "hash"]).groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    return rows.toPandas().sort_values("doc_id", kind="stable").reset_index(drop=True)
 
 
 def scorer(docs: DataFrame, labels: DataFrame, **bounds):
@@ -224,5 +245,5 @@ def keep(docs: DataFrame, labels: DataFrame, least: float = 0.5, **bounds) -> Da
 
 def op1_random_indexing_quality(spark, sf_dir: str) -> DataFrame:
     out = score(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
-    held = (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out")
     return out.select("doc_id", held, F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))

@@ -1,7 +1,11 @@
+import math
+
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import quality
+from millrace.llm.common import mix
 
 
 def test_held_out_accuracy(spark, sf):
@@ -39,3 +43,60 @@ def test_calibration_softens_an_overconfident_network():
     net.w[2] = net.w[2] * 6
     net.calibrate(x[200:], y[200:])
     assert net.temperature > 1
+
+
+def plain_vectors(texts, dim):
+    """Random indexing word by word."""
+
+    def own(name):
+        h, out = xxhash.xxh64_intdigest(name, 5), np.zeros(dim)
+        for k in range(quality.NONZERO):
+            m = int(mix(np.array([(h + (k + 1) * 0x9E3779B97F4A7C15) % 2**64], np.uint64))[0])
+            out[m % dim] += 1 if m >> 63 else -1
+        return out
+
+    words = [t.split() for t in texts]
+    base = {w: own(w) + own(quality.shape(w)) for t in words for w in t}
+    near = {w: [] for w in base}
+    for t in words:
+        for i, w in enumerate(t):
+            near[w] += [base[t[j]] for j in range(max(0, i - 2), min(len(t), i + 3)) if j != i]
+    mean = {w: np.mean(v, 0) if v else np.zeros(dim) for w, v in near.items()}
+    out = {w: base[w] + mean[w] for w in base}
+    for s in {quality.shape(w) for w in base}:
+        out[s] = own(s) + np.mean([mean[w] for t in words for w in t if quality.shape(w) == s], 0)
+    return out
+
+
+def test_vectors_and_pooling_against_plain_code():
+    texts = ["The cat sat on the mat. The cat\nsat", "a 12 dogs, 12 dogs barked!", "", "cat cat cat cat", "x" * 60 + " y"]
+    vectors, want = quality.fit_vectors(texts), plain_vectors(texts, quality.DIM)
+    for w, v in want.items():
+        assert np.allclose(vectors.table[vectors[w]], v, atol=1e-5), w
+    text = "The cat sat sat\ndog The cat sat sat\nThe cat sat sat"
+    words = text.split()
+    vector = lambda w: want.get(w, want.get(quality.shape(w), None))
+    known = [w for w in words if vector(w) is not None]
+    assert len(known) == len(words)
+    got = quality.features(text, vectors)
+    assert np.allclose(got[: quality.DIM], np.mean([vector(w) for w in words], 0), atol=1e-5)
+    assert np.allclose(got[quality.DIM : 2 * quality.DIM], np.mean([vector(w) for w in set(words)], 0), atol=1e-5)
+    assert np.allclose(got[2 * quality.DIM :], [np.log1p(13) / 8, 4 / 13, 4 / 13 * np.log1p(13) / 8, 3 / 13, 1.0, 0])
+
+
+def test_network_against_plain_loops():
+    rng = np.random.default_rng(2)
+    net = quality.Network(5)
+    net.mean, net.scale, net.temperature = rng.normal(size=5), rng.uniform(0.5, 2, 5), 1.7
+    x = rng.normal(size=5)
+    a, b, c, d = net.w
+    hidden = [math.tanh(sum((x[i] - net.mean[i]) / net.scale[i] * a[i, j] for i in range(5)) + b[j]) for j in range(quality.HIDDEN)]
+    logit = sum(h * w for h, w in zip(hidden, c, strict=True)) + d[0]
+    assert math.isclose(net(x[None, :])[0], 1 / (1 + math.exp(-logit / 1.7)), rel_tol=1e-9)
+
+
+def test_the_fit_does_not_depend_on_the_plan(spark):
+    rows = [(i % 40, f"word{i} text number {i % 7}") for i in range(400)] + [(None, "nobody")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(3, 0)], "doc_id long, quality int")
+    samples = [quality.sample(spark.createDataFrame(rows[::k], "doc_id long, text string").repartition(n), labels) for k, n in ((1, 3), (-1, 7))]
+    assert samples[0].equals(samples[1]) and samples[0]["doc_id"].is_unique
