@@ -7,10 +7,33 @@ from millrace.llm import decontaminate as D
 from millrace.llm import mixing as M
 
 
-def test_targets_are_water_filled():
-    goal = M.targets({"a": 100, "b": 100, "c": 100, None: 10})
-    assert sum(goal.values()) == pytest.approx(465) and goal[None] == 20 and goal["a"] == 200
-    assert M.targets({}) == {} and M.targets({"a": 0}) == {"a": 0}
+def plain_targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
+    """The excess reshared by weight until no source is above its bound."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    out, left, free = {}, share * sum(sizes.values()), list(order)
+    while free:
+        total = sum(weight[s] for s in free)
+        over = [s for s in free if left * weight[s] / total > most * sizes[s]]
+        if not over:
+            return out | {s: left * weight[s] / total for s in free}
+        out |= {s: most * sizes[s] for s in over}
+        left -= sum(most * sizes[s] for s in over)
+        free = [s for s in free if s not in out]
+    return out
+
+
+@pytest.mark.parametrize("sizes", [{"a": 100, "b": 100, "c": 100, None: 10}, {}, {"a": 0}, {"a": 0, "b": 5}, {"é": 7, "z": 1000, "Z": 3, "": 50, None: 0}, {f"s{i}": i * i for i in range(40)}])
+def test_targets_are_water_filled(spark, sizes):
+    got = M.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()
+    assert {r["source"]: pytest.approx(r["target"]) for r in got} == plain_targets(sizes)
+
+
+def test_null_and_empty_sources_are_apart(spark):
+    docs = spark.createDataFrame([(1, "a b c", None), (1, "a b c", ""), (2, None, "x"), (2, "", "x"), (None, "q", "x")], "doc_id long, text string, source string")
+    plan = M.plan(docs).collect()
+    assert len({r["mix_key"] for r in plan}) == 5
+    assert sorted((r["doc_id"] or 0, r["size"], r["source_size"]) for r in plan) == [(0, 1, 1), (1, 3, 3), (1, 3, 3), (2, 0, 1), (2, 0, 1)]
 
 
 def test_plan_of_odd_rows(spark, odd_docs, no_docs):
@@ -76,3 +99,16 @@ def test_proximity_finds_a_passage_with_a_word_put_in(spark):
     rows = {r["row"] for r in D.proximity(index, wins).collect()}
     found = {r["doc_id"] for r in index.where("pos = -1").collect() if r["row"] in rows}
     assert {1, 8, 9} <= found
+    wide = "the quick small brown fox jumps over some lazy dog again"  # a word put in and one changed
+    docs = spark.createDataFrame([(1, wide), (2, "nothing of it"), (3, DOCS[0][1])], "doc_id long, text string")
+    near = {r["doc_id"]: (r["n_items"], r["n_near"]) for r in D.contamination(docs, items).collect()}
+    assert near == {1: (0, 1), 2: (0, 0), 3: (1, 1)}
+
+
+def test_an_index_of_all_tokens_gives_the_same_matches(spark):
+    docs, items = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
+    wins = D.windows(items)
+    some, all_ = D.build_index(docs, wins.select("term").distinct(), 100), D.build_index(docs)
+    assert all_.count() > some.count()
+    found = [sorted((r["start"], r["item_id"], r["size"]) for r in D.phrases(index, wins).collect()) for index in (some, all_)]
+    assert found[0] == found[1] and found[0]
