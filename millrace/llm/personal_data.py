@@ -9,6 +9,9 @@ how reliable each labeler is, and its posteriors train a logistic span
 classifier over kind, votes and surroundings.  Wider candidates that it takes
 for personal data with at least ``SURE`` are added where no base span is.
 
+The context of a span is what lies between it and the match of its pattern before
+(at most 40 characters) and the character behind it, wherever matches lie close.
+
 Positions are code points.  A pattern's matches are set between marks by one
 ``regexp_replace``, the text is split at the marks, and positions are prefix
 sums of the pieces' lengths in two levels, so that a text with very many
@@ -20,7 +23,8 @@ come to the driver.
 
 Defined cases: a null text is empty and has no spans; a text that holds the
 mark character is matched as if it held another control character; repeated
-rows are separate; an empty table gives an empty result and no classifier.
+rows are separate; an empty table gives an empty result and no classifier; other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import read, written
@@ -36,6 +40,8 @@ from millrace.llm.common import read, written
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("ssn", "name")
 SURE = 0.9
+#: Pairs of a document's base spans and wider candidates up to which overlaps are tried one by one.
+FEW_PAIRS = 1_000_000
 MARK = "\x01"
 _STEP = 256
 
@@ -226,12 +232,28 @@ def spans(docs: DataFrame, sure: float = SURE) -> DataFrame:
     weights = classifier(patterns) if patterns else [0.0] * len(features("", (0,) * VOTERS, (0, 0, 0)))
     bound = math.log(sure / (1 - sure))
     found = found.withColumn("base", F.filter("cands", lambda c: c["base"]))
-    fits = lambda c: ~c["base"] & (_logit(c, weights) >= bound) & ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    return found.withColumn("added", F.filter("cands", fits)).select("doc_id", "base", "added")
+    sure_of = lambda c: ~c["base"] & (_logit(c, weights) >= bound)
+    found = found.withColumn("likely", F.filter("cands", sure_of)).select("doc_id", "base", "likely")
+    few = F.size("base").cast("long") * F.size("likely") <= FEW_PAIRS
+    free = lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+    return found.where(few).select("doc_id", "base", F.filter("likely", free).alias("added")).union(_swept(found.where(~few)))
+
+
+def _swept(found: DataFrame) -> DataFrame:
+    """(doc_id, base, added) of documents with very many spans: one pass over each one's spans in order from either side."""
+    rows = written(found.withColumn("row", F.monotonically_increasing_id()), "dense-spans")
+    each = rows.select("row", F.inline(F.concat("base", "likely")))
+    fore, back = Window.partitionBy("row").orderBy("start", F.desc("base")), Window.partitionBy("row").orderBy(F.desc("start"), "base")
+    before = F.max(F.when(F.col("base"), F.col("end"))).over(fore.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    after = F.min(F.when(F.col("base"), F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    free = each.withColumn("_before", before).withColumn("_after", after).where("NOT base AND coalesce(_before <= start, true) AND coalesce(_after >= end, true)")
+    added = free.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end", "base", "votes", "around")).alias("added"))
+    none = F.filter("likely", lambda c: F.lit(False))
+    return rows.join(added, "row", "left").select("doc_id", "base", F.coalesce("added", none).alias("added"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) of each row of ``docs``."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, personal) of each row of ``docs``; personal: any span."""
     found = spans(docs)
 
     def of(kind: str):
@@ -244,8 +266,38 @@ def digest(docs: DataFrame) -> DataFrame:
     both = F.concat("base", F.array_distinct("added"))
     ordered = F.flatten(F.array(*[F.array_sort(F.filter("_all", of(k)), before) for k in (*KINDS, *ADDED)]))
     found = found.withColumn("_all", both)
-    return found.select("doc_id", *count, F.sha2(F.array_join(F.transform("base", _name), ","), 256).alias("base_sha256"), F.array_join(F.transform(ordered, _name), ",").alias("spans"), F.size("added").cast("long").alias("n_added"))
+    return found.select("doc_id", *count, F.sha2(F.array_join(F.transform("base", _name), ","), 256).alias("base_sha256"), F.array_join(F.transform(ordered, _name), ",").alias("spans"), F.size("added").cast("long").alias("n_added"), (F.size("base") + F.size("added") > 0).alias("personal"))
 
 
 def op3_weak_supervision(spark, sf_dir: str) -> DataFrame:
     return digest(read(spark, sf_dir, "documents"))
+
+
+def personal_base_spans(spark, sf_dir: str) -> DataFrame:
+    """The base columns of the operator, which SQL can say."""
+    return op3_weak_supervision(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def _sql_spans(order: int, kind: str, pattern: str, valid: str) -> str:
+    """DuckDB SQL: list of {k, s, e, kind, m} of a pattern's valid matches, by marks set around them."""
+    pieces = f"string_split(regexp_replace(t, '{pattern}', chr(1) || '\\0' || chr(1), 'g'), chr(1))"
+    sums = "list_transform(range(1, len(p) + 1), lambda i: coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0))"
+    return f"""SELECT r, doc_id, list_filter(list_transform(list_filter(range(1, len(p) + 1), lambda i: i % 2 = 0), lambda i: {{'k': {order}, 's': (n[i] - length(p[i]))::BIGINT, 'e': n[i]::BIGINT, 'kind': '{kind}', 'm': p[i]}}), lambda x: {valid}) AS a
+      FROM (SELECT *, {sums} AS n FROM (SELECT r, doc_id, {pieces} AS p FROM d))"""
+
+
+_DIGITS = "regexp_replace(x.m, '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 0 THEN substr({_DIGITS}, (length({_DIGITS}) - i + 1)::BIGINT, 1)::INT * 2 - CASE WHEN substr({_DIGITS}, (length({_DIGITS}) - i + 1)::BIGINT, 1)::INT > 4 THEN 9 ELSE 0 END ELSE substr({_DIGITS}, (length({_DIGITS}) - i + 1)::BIGINT, 1)::INT END)) % 10 = 0"
+_BASE = [
+    _sql_spans(0, "email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    _sql_spans(1, "ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "len(list_filter(string_split(x.m, '.'), lambda y: coalesce(try_cast(y AS HUGEINT) > 255, true))) = 0"),
+    _sql_spans(2, "card", r"[0-9](?:[\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 13 AND 19 AND {_LUHN}"),
+    _sql_spans(3, "phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+]
+BASE_ORACLE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, replace(coalesce(text, ''), chr(1), chr(2)) AS t FROM documents),
+f AS ({" UNION ALL ".join(_BASE)}),
+g AS (SELECT r, any_value(doc_id) AS doc_id, list_sort(flatten(list(a))) AS a FROM f GROUP BY r)
+SELECT doc_id, {", ".join(f"len(list_filter(a, lambda x: x.k = {i}))::BIGINT AS n_{k}" for i, k in enumerate(KINDS))},
+       sha256(array_to_string(list_transform(a, lambda x: x.kind || ':' || x.s || ':' || x.e), ',')) AS base_sha256 FROM g
+"""

@@ -14,6 +14,7 @@ def queries():
         "op6_lsh_forest_join": near_duplicates.op6_lsh_forest_join,
         "op7_nn_descent": vector_duplicates.op7_nn_descent,
         "op8_decoding_worklist": secrets.op8_decoding_worklist,
+        "personal_base_spans": personal_data.personal_base_spans,
         "secret_base_spans": secrets.secret_base_spans,
         "op9_positional_index": decontaminate.op9_positional_index,
         "op2_token_files": token_files.op2_token_files,
@@ -22,4 +23,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"secret_base_spans": secrets.BASE_ORACLE, "op5_warc_source": warc.ORACLE, "op6_lsh_forest_join": near_duplicates.ORACLE, "op7_nn_descent": vector_duplicates.ORACLE, "op9_positional_index": decontaminate.ORACLE, "op10_weighted_fair_mix": mixing.ORACLE}
+    return {"personal_base_spans": personal_data.BASE_ORACLE, "secret_base_spans": secrets.BASE_ORACLE, "op5_warc_source": warc.ORACLE, "op6_lsh_forest_join": near_duplicates.ORACLE, "op7_nn_descent": vector_duplicates.ORACLE, "op9_positional_index": decontaminate.ORACLE, "op10_weighted_fair_mix": mixing.ORACLE}

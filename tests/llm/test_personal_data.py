@@ -62,3 +62,18 @@ def test_reliabilities_tell_good_voters_from_bad():
     weights = P.classifier([(k, v, (0, 0, 0), n) for k, v, n in patterns])
     score = lambda v: sum(w * x for w, x in zip(weights, P.features("email", v, (0, 0, 0)), strict=True))
     assert score((1, -1, 1, 0, 0)) > 0 > score((-1, 1, 0, -1, 0))
+
+
+def test_sweep_equals_pairwise_overlaps(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)] + [(50, TEXTS[2] * 30 + TEXTS[0] * 20)], "doc_id long, text string")
+    want = sorted(map(str, P.digest(docs).collect()))
+    assert any("n_added=0" not in w for w in want)
+    monkeypatch.setattr(P, "FEW_PAIRS", -1)
+    assert sorted(map(str, P.digest(docs).collect())) == want
+
+
+def test_clashing_columns_and_the_flag(spark, odd_docs):
+    docs = odd_docs.withColumn("cands", odd_docs["row"]).withColumn("_t", odd_docs["row"])
+    out = P.digest(docs).collect()
+    assert len(out) == docs.count() and not any(r["personal"] for r in out)
+    assert P.digest(spark.createDataFrame([(1, "a@b.cd")], "doc_id long, text string")).first()["personal"]
