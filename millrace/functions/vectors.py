@@ -49,6 +49,16 @@ def cauchy(a: Column, b: Column, weights: Column) -> Column:
     return 1 / (1 + _fold(F.zip_with(squares, weights, lambda s, w: s * w)))
 
 
+def angle(a: Column, b: Column) -> Column:
+    """Absolute sum of the parts of the quotient of two vectors taken as complex numbers (first half real, second half imaginary), scaled by their lengths."""
+    half = lambda v, k: F.slice(v, k * F.floor(F.size(v) / 2).cast("int") + 1, F.floor(F.size(v) / 2).cast("int"))
+    re_a, im_a, re_b, im_b = half(a, 0), half(a, 1), half(b, 0), half(b, 1)
+    both = _fold(F.zip_with(re_a, re_b, lambda x, y: x.cast("double") * y)) + _fold(F.zip_with(im_a, im_b, lambda x, y: x.cast("double") * y))
+    cross = _fold(F.zip_with(im_a, re_b, lambda x, y: x.cast("double") * y)) - _fold(F.zip_with(re_a, im_b, lambda x, y: x.cast("double") * y))
+    z = dot(b, b)
+    return F.abs((both / z + cross / z) / (norm(a) / norm(b)))
+
+
 def l2_normalize(a: Column) -> Column:
     n = F.greatest(norm(a), F.lit(1e-12))
     return F.transform(a, lambda x: x / n)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column
@@ -12,8 +14,25 @@ _LEGACY = {"$eq": "==", "$ne": "!=", "$gt": ">", "$gte": ">=", "$lt": "<", "$lte
 _ATTRIBUTE = {"eq": "==", "ne": "!=", "gt": ">", "gte": ">=", "lt": "<", "lte": "<=", "in": "in", "nin": "not in"}
 
 
+def _moment(value) -> Column | None:
+    """A date or time as a literal without zone; one with a zone is taken to UTC first, one without counts as UTC."""
+    if isinstance(value, str) and re.match(r"\d{4}-\d{2}-\d{2}", value):
+        try:
+            value = datetime.fromisoformat(value)
+        except ValueError:
+            return None
+    if not isinstance(value, datetime):
+        return None
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def compare(field: Column, operator: str, value) -> Column:
-    """A comparison that is never null: ordering with null is false, inequality with null is true."""
+    """A comparison that is never null: ordering with null is false, inequality with null is true.
+
+    Dates and times, also as ISO strings, are compared as moments in UTC; a field with a zone is read in the session's.
+    """
     if operator == "==":
         return field.isNull() if value is None else field.eqNullSafe(F.lit(value))
     if operator == "!=":
@@ -21,7 +40,8 @@ def compare(field: Column, operator: str, value) -> Column:
     if operator in _ORDER:
         if value is None or isinstance(value, (list, tuple, dict)):
             raise ValueError(f"{operator} needs a scalar, not {value!r}")
-        return F.coalesce(_ORDER[operator](field, F.lit(value)), F.lit(False))
+        moment = _moment(value)
+        return F.coalesce(_ORDER[operator](field if moment is None else field.cast("timestamp_ntz"), F.lit(value) if moment is None else moment), F.lit(False))
     if operator in ("in", "not in"):
         if not isinstance(value, (list, tuple)):
             raise ValueError(f"{operator} needs a list")

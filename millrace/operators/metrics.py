@@ -7,17 +7,23 @@ from pyspark.sql import functions as F
 
 
 def ranked_hits(run: DataFrame, truth: DataFrame, qid: str = "qid", item: str = "doc_id", rank: str = "rank") -> DataFrame:
-    """``run`` (qid, item, rank from 0) with ``hit`` and the query's ``n_truth``; a null item keeps its rank and hits nothing."""
+    """``run`` (qid, item, rank from 0) with ``hit`` and the query's ``n_truth``; a null item keeps its rank and hits nothing.
+
+    A query of ``truth`` for which nothing was retrieved gets one row without item and rank.
+    """
     relevant = truth.select(qid, item).distinct()
     totals = relevant.groupBy(qid).agg(F.count(F.lit(1)).alias("n_truth"))
     marked = run.join(relevant.withColumn("hit", F.lit(1)), [qid, item], "left")
-    return marked.join(totals, qid, "left").select(*run.columns, F.coalesce("hit", F.lit(0)).alias("hit"), F.coalesce("n_truth", F.lit(0)).alias("n_truth"))
+    found = marked.join(totals, qid, "left").select(*run.columns, F.coalesce("hit", F.lit(0)).alias("hit"), F.coalesce("n_truth", F.lit(0)).alias("n_truth"))
+    empty = totals.join(run.select(qid).distinct(), qid, "left_anti")
+    none = [F.col(c) if c == qid else F.lit(None).cast(run.schema[c].dataType).alias(c) for c in run.columns]
+    return found.unionByName(empty.select(*none, F.lit(0).alias("hit"), "n_truth"))
 
 
 def by_query(hits: DataFrame, qid: str = "qid", rank: str = "rank", k: int | None = None) -> DataFrame:
     """Per query: mrr, average precision over hits, recall (both kinds), ndcg, precision and accuracy, all at ``k`` if given."""
     if k:
-        hits = hits.where(F.col(rank) < k)
+        hits = hits.where((F.col(rank) < k) | F.col(rank).isNull())
     order = Window.partitionBy(qid).orderBy(rank).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hits = hits.withColumn("_p", F.sum("hit").over(order) / (F.col(rank) + 1)).withColumn("_g", F.col("hit") / F.log2(F.col(rank) + 2))
     limit = F.lit(k) if k else F.col("n_truth")
@@ -25,11 +31,11 @@ def by_query(hits: DataFrame, qid: str = "qid", rank: str = "rank", k: int | Non
     out = hits.groupBy(qid).agg(
         F.coalesce(1 / (F.min(F.when(F.col("hit") == 1, F.col(rank))) + 1), F.lit(0.0)).alias("mrr"),
         F.coalesce(F.avg(F.when(F.col("hit") == 1, F.col("_p"))), F.lit(0.0)).alias("map"),
-        F.sum("hit").alias("n_hits"), F.max("hit").alias("recall_single"), F.sum("_g").alias("dcg"), F.first("n_truth").alias("n_truth"), F.count(F.lit(1)).alias("n"),
+        F.sum("hit").alias("n_hits"), F.max("hit").alias("recall_single"), F.coalesce(F.sum("_g"), F.lit(0.0)).alias("dcg"), F.first("n_truth").alias("n_truth"), F.count(rank).alias("n"),
     )
     return out.select(
         qid, "mrr", "map", F.col("recall_single").cast("double").alias("recall_single"), F.when(F.col("n_truth") > 0, F.col("n_hits") / F.col("n_truth")).otherwise(0.0).alias("recall_multi"),
-        F.when(F.col("n_truth") > 0, F.col("dcg") / ideal).otherwise(0.0).alias("ndcg"), (F.col("n_hits") / (F.lit(k) if k else F.col("n"))).alias("precision"),
+        F.when(F.col("n_truth") > 0, F.col("dcg") / ideal).otherwise(0.0).alias("ndcg"), F.coalesce(F.try_divide(F.col("n_hits"), F.lit(k) if k else F.col("n")), F.lit(0.0)).alias("precision"),
     )
 
 
@@ -55,6 +61,29 @@ def rouge_n(predicted: Column, truth: Column, n: int) -> Column:
     return token_f1(ngrams(predicted, n), ngrams(truth, n))
 
 
+def gram_overlap(pairs: DataFrame, key: str, predicted: str, truth: str, most: int = 4) -> DataFrame:
+    """(key, n, common, of_predicted, of_truth): clipped common n-grams and totals of two token arrays, for n up to ``most``."""
+
+    def counted(tokens: str, name: str) -> DataFrame:
+        sizes = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), ngrams(F.col(tokens), n).alias("g")) for n in range(1, most + 1)])).alias("x")
+        return pairs.select(key, sizes).select(key, "x.n", F.explode("x.g").alias("g")).groupBy(key, "n", "g").agg(F.count(F.lit(1)).alias(name))
+
+    both = counted(predicted, "a").join(counted(truth, "b"), [key, "n", "g"], "full")
+    return both.groupBy(key, "n").agg(F.sum(F.least(F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0)))).alias("common"), F.coalesce(F.sum("a"), F.lit(0)).alias("of_predicted"), F.coalesce(F.sum("b"), F.lit(0)).alias("of_truth"))
+
+
+def bleu_and_gleu(pairs: DataFrame, key: str, predicted: str, truth: str, most: int = 4) -> DataFrame:
+    """(key, bleu, gleu): geometric mean of clipped precisions (zero counts plus one half) with brevity penalty; least of precision and recall over all n-grams."""
+    by_n = gram_overlap(pairs, key, predicted, truth, most)
+    precision = F.greatest(F.col("common").cast("double"), F.lit(0.5)) / F.greatest("of_predicted", F.lit(1))
+    sums = by_n.groupBy(key).agg(
+        F.sum(F.log(precision)).alias("logs"), F.count(F.lit(1)).alias("kinds"), F.max(F.when(F.col("n") == 1, F.col("of_predicted"))).alias("p"), F.max(F.when(F.col("n") == 1, F.col("of_truth"))).alias("t"),
+        F.sum("common").alias("c"), F.sum("of_predicted").alias("ps"), F.sum("of_truth").alias("ts"),
+    )
+    brevity = F.when(F.col("p") == 0, 0.0).when(F.col("p") >= F.col("t"), 1.0).otherwise(F.exp(1 - F.col("t") / F.nullif(F.col("p"), F.lit(0))))
+    return sums.select(key, (brevity * F.exp(F.col("logs") / F.col("kinds"))).alias("bleu"), (F.col("c") / F.greatest("ps", "ts")).alias("gleu"))
+
+
 def binary_thresholds(df: DataFrame, score: str, label: str, by: list[str] | None = None) -> DataFrame:
     """Best accuracy, best F1 and average precision of scores over 0/1 labels, by running counts over the scores."""
     by = by or []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,16 +31,73 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", text:
     return top_k(scored, [qid], [F.round("score", 9).desc(), key], k)  # sums in another order must not decide ties
 
 
-def vector_top_k(vectors: DataFrame, queries: DataFrame, k: int, similarity: str = "cosine", key: str = "vec_id", vector: str = "embedding", scale: bool = False) -> DataFrame:
-    """(qid, key, score, rank) of a stated, bounded query set against all vectors; queries are broadcast below 1,000 rows."""
-    queries = queries.select(F.col(key).alias("qid"), F.col(vector).alias("_q"))
-    if queries.count() > 1000:
-        raise ValueError("deal out larger query sets in blocks")
-    pairs = vectors.select(key, F.col(vector).alias("_v")).join(F.broadcast(queries), F.col("qid") != F.col(key))
-    score = V.similarity(similarity, F.col("_q").cast("array<double>"), F.col("_v").cast("array<double>"))
-    if scale:
-        score = (score + 1) / 2 if similarity == "cosine" else V.sigmoid(score / 100)
-    return top_k(pairs.select("qid", key, score.alias("score")), ["qid"], [F.desc("score"), key], k)
+def _scores(similarity: str, q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    if similarity == "cosine":
+        n = np.sqrt((q * q).sum(1))[:, None] * np.sqrt((x * x).sum(1))[None, :]
+        return np.divide(q @ x.T, n, out=np.full((len(q), len(x)), np.nan), where=n > 0)
+    if similarity == "dot":
+        return q @ x.T
+    if similarity == "euclidean":
+        return -np.sqrt(np.maximum(0, (q * q).sum(1)[:, None] + (x * x).sum(1)[None, :] - 2 * q @ x.T))
+    return -np.stack([np.abs(x - row).sum(1) for row in q])
+
+
+def vector_top_k(vectors: DataFrame, queries: DataFrame, k: int, similarity: str = "cosine", key: str = "vec_id", vector: str = "embedding", scale: bool = False, block: int = 4096, share: int = 512) -> DataFrame:
+    """(qid, key, score, rank) of a stated query set against all vectors but its own, ``share`` queries and ``block`` vectors at a time.
+
+    Vectors that are null, of another length, or hold nulls are passed over; equal scores (to 9 digits) go by key.
+    """
+    if similarity not in V.SIMILARITIES:
+        raise ValueError(f"unknown similarity {similarity}")
+    n, m = vectors.count(), queries.count()
+    blocks, shares = -(-n // block) or 1, -(-m // share) or 1
+    place = lambda c, parts: F.pmod(F.xxhash64(c), F.lit(parts))
+    values = F.col(vector).cast("array<double>").alias("x")
+    many = vectors.select(F.lit(1).alias("side"), F.col(key).cast("long").alias("id"), values, place(key, blocks).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("s"))
+    asked = queries.select(F.lit(0).alias("side"), F.col(key).cast("long").alias("id"), values, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), place(key, shares).alias("s"))
+
+    def best(group: pa.Table) -> pa.Table:
+        rows = [(side, i, x) for side, i, x in zip(*(group.column(c).to_pylist() for c in ("side", "id", "x")), strict=True) if x is not None and None not in x]
+        out = {"qid": [], "id": [], "score": []}
+        for length in {len(x) for side, _, x in rows if side == 0}:
+            q, v = ([(i, x) for at, i, x in rows if at == side and len(x) == length] for side in (0, 1))
+            if not v:
+                continue
+            ids = np.array([i for i, _ in v])
+            scores = _scores(similarity, np.array([x for _, x in q]), np.array([x for _, x in v]))
+            if scale:
+                scores = (scores + 1) / 2 if similarity == "cosine" else 1 / (1 + np.exp(-scores / 100))
+            for (qid, _), line in zip(q, scores, strict=True):
+                at = np.flatnonzero((ids != qid) & ~np.isnan(line))
+                at = at[np.lexsort((ids[at], -np.round(line[at], 9)))][:k]
+                out["qid"] += [qid] * len(at)
+                out["id"] += ids[at].tolist()
+                out["score"] += line[at].tolist()
+        return pa.table({"qid": pa.array(out["qid"], pa.int64()), "id": pa.array(out["id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
+
+    found = asked.unionByName(many).groupBy("b", "s").applyInArrow(best, "qid long, id long, score double")
+    return top_k(found.withColumnRenamed("id", key), ["qid"], [F.round("score", 9).desc(), key], k)
+
+
+def diverse_order(candidates: DataFrame, by: str, item: str, similarity_to_query: str, vector: str) -> DataFrame:
+    """(by, item, position): the most similar to the query first, then always the one least similar on average to those chosen; a group is one query's few candidates."""
+
+    def order(group: pa.Table) -> pa.Table:
+        items, first = group.column(item).to_pylist(), np.array(group.column(similarity_to_query).to_pylist())
+        x = np.array(group.column(vector).to_pylist(), np.float64)
+        x /= np.maximum(np.linalg.norm(x, axis=1), 1e-12)[:, None]
+        left = sorted(range(len(items)), key=lambda i: (-round(first[i], 9), items[i]))
+        chosen, total = [left.pop(0)], None
+        while left:
+            last = x @ x[chosen[-1]]
+            total = last if total is None else total + last
+            at = min(left, key=lambda i: (round(total[i] / len(chosen), 9), items[i]))
+            left.remove(at)
+            chosen.append(at)
+        return pa.table({by: group.column(by).take(pa.array(chosen)), item: pa.array([items[i] for i in chosen], group.column(item).type), "position": pa.array(range(1, len(chosen) + 1), pa.int32())})
+
+    kinds = dict(candidates.dtypes)
+    return candidates.groupBy(by).applyInArrow(order, f"{by} {kinds[by]}, {item} {kinds[item]}, position int")
 
 
 def lost_in_the_middle(df: DataFrame, by: str, rank: str) -> Column:

@@ -22,6 +22,25 @@ def by_language(language: Column, languages: list[str]) -> Column:
     return F.when(language.isin(languages), language).otherwise("unmatched")
 
 
+#: Frequent short words by language (fixed values).
+MARKER_WORDS = {
+    "en": "the of and to in is that it was for with as".split(), "de": "der die und das nicht ist ein zu den mit sich von".split(),
+    "fr": "le la les et des est une dans que pour qui du".split(), "es": "el los y del las por con una para como más su".split(),
+}
+
+
+def language_of(text: Column, unknown: str | None = None) -> Column:
+    """Language whose marker words the text holds most often, in the order of ``MARKER_WORDS`` at ties; ``unknown`` without any."""
+    tokens = F.split(F.lower(text), "[^\\p{L}]+")
+
+    def held(words: list[str]) -> Column:
+        return F.size(F.filter(tokens, lambda t: t.isin(words)))
+
+    counts = F.array(*[F.struct(held(words).alias("n"), F.lit(-i).alias("at"), F.lit(name).alias("name")) for i, (name, words) in enumerate(MARKER_WORDS.items())])
+    best = F.array_max(counts)
+    return F.when(best["n"] > 0, best["name"]).otherwise(F.lit(unknown))
+
+
 def by_threshold(value: Column, threshold) -> Column:
     return F.when(value < threshold, "below").otherwise("above")
 

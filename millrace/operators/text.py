@@ -66,9 +66,14 @@ def split_documents(df: DataFrame, text: str, by: str = "word", length: int = 20
     step = length - overlap
     df = df.where(F.col(text).isNotNull()).withColumn("_u", units(F.col(text), by))
     last = F.greatest(F.lit(0), F.ceil((F.size("_u") - length) / step)).cast("int")
+    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda n, x: n + x)
+    # characters of every step, and of every 128 steps together: a start is a sum over few of either
+    df = df.withColumn("_s", F.transform(F.sequence(F.lit(0), last), lambda i: F.length(F.array_join(F.slice("_u", i * step + 1, F.lit(step)), "")).cast("long")))
+    df = df.withColumn("_b", F.transform(F.sequence(F.lit(0), F.floor(F.size("_s") / 128).cast("int")), lambda b: total(F.slice("_s", b * 128 + 1, F.lit(128)))))
     df = df.withColumn("split_id", F.explode(F.sequence(F.lit(0), last)))
+    block = F.floor(F.col("split_id") / 128).cast("int")
+    start = total(F.slice("_b", F.lit(1), block)) + total(F.slice("_s", block * 128 + 1, F.col("split_id") % 128))
     content = F.array_join(F.slice("_u", F.col("split_id") * step + 1, F.lit(length)), "")
-    start = F.length(F.array_join(F.slice("_u", F.lit(1), F.col("split_id") * step), ""))
     return df.select(*(keep or []), "split_id", start.cast("long").alias("split_start"), content.alias("content")).where("content <> ''")
 
 
@@ -157,3 +162,45 @@ def expand_window(df: DataFrame, by: str, order: str, value: str, n: int) -> Dat
     """``window``: the value with ``n`` neighbours each side in its sequence, null beyond the ends."""
     w = Window.partitionBy(by).orderBy(order)
     return df.withColumn("window", F.array(*[(F.lead(value, -k) if k < 0 else F.lag(value, k)).over(w) for k in range(n, -n - 1, -1)]))
+
+
+def byte_groups(text: Column, groups: int = 4) -> Column:
+    """Hex of a text's UTF-8 bytes, every ``groups``-th byte beside each other."""
+    code = F.hex(F.encode(text, "UTF-8"))
+    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.length(code) / 2).cast("int") - 1), lambda i: F.substring(code, i * 2 + 1, F.lit(2)))
+
+    def group(g: int) -> Column:
+        return F.filter(pairs, lambda p, i: i % groups == g)
+
+    grouped = [group(g) for g in range(groups)]
+    return F.when(F.length(code) == 0, "").otherwise(F.array_join(F.concat(*grouped), ""))
+
+
+#: JSON types and the Spark types that hold them.
+_JSON_TYPES = {"integer": "BIGINT", "number": "DOUBLE", "boolean": "BOOLEAN", "string": "STRING"}
+
+
+def matches_schema(json: Column, schema: dict) -> Column:
+    """Whether JSON text is an object with the required properties, and the typed properties' types, bounds and listed values hold."""
+    parsed = F.try_parse_json(json)
+    keys = F.json_object_keys(json)
+    tests = [keys.isNotNull()]
+    tests += [F.array_contains(keys, k) for k in schema.get("required", [])]
+    if schema.get("additionalProperties") is False:
+        tests.append(F.size(F.array_except(keys, F.array(*[F.lit(k) for k in schema["properties"]]))) == 0)
+    for name, rule in schema.get("properties", {}).items():
+        value = F.try_variant_get(parsed, f"$.{name}", _JSON_TYPES[rule["type"]])
+        kind = F.schema_of_variant(F.try_variant_get(parsed, f"$.{name}", "variant"))
+        of_type = {"integer": kind == "BIGINT", "number": kind.rlike("^(BIGINT|DOUBLE|DECIMAL)"), "boolean": kind == "BOOLEAN", "string": kind == "STRING"}[rule["type"]]
+        ok = of_type
+        if "minimum" in rule:
+            ok = ok & (value >= rule["minimum"])
+        if "maximum" in rule:
+            ok = ok & (value <= rule["maximum"])
+        if "enum" in rule:
+            ok = ok & value.isin(rule["enum"])
+        tests.append(~F.coalesce(F.array_contains(keys, name), F.lit(False)) | F.coalesce(ok, F.lit(False)))
+    out = tests[0]
+    for t in tests[1:]:
+        out = out & F.coalesce(t, F.lit(False))
+    return out

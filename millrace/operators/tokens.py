@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from millrace.operators.text import PUNCTUATION, words
 
 #: Forms and their norms (fixed values).
-NORMS = {"’": "'", "‘": "'", "`": "'", "´": "'", "“": '"', "”": '"', "„": '"', "«": '"', "»": '"', "—": "-", "–": "-", "--": "-", "…": "...", "£": "$", "€": "$", "¥": "$", "US$": "$"}
+NORMS = {
+    "'s": "'s", "'S": "'s", "’s": "'s", "’S": "'s", "’": "'", "‘": "'", "´": "'", "`": "'",
+    "”": '"', "“": '"', "''": '"', "``": '"', "´´": '"', "„": '"', "»": '"', "«": '"', "‘‘": '"', "’’": '"',
+    "？": "?", "！": "!", "，": ",", "；": ";", "：": ":", "。": ".", "।": ".", "…": "...",
+    "—": "-", "–": "-", "--": "-", "---": "-", "——": "-",
+    "€": "$", "£": "$", "¥": "$", "฿": "$", "US$": "$", "C$": "$", "A$": "$", "₺": "$", "₹": "$", "৳": "$", "₩": "$", "Mex$": "$", "₣": "$", "E£": "$",
+}
 
 
 def strip_punctuation(token: Column) -> Column:
@@ -69,6 +75,15 @@ def merge_runs(df: DataFrame, key: str, pos: str, token: str, label: str) -> Dat
     return runs.groupBy(key, "_run").agg(F.min(pos).alias("start"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(pos, token))), lambda x: x[token]), " ").alias("merged"), F.first(label).alias("label")).drop("_run")
 
 
+def join_phrases(text: Column, phrases: list[str], mark: str = "_") -> Column:
+    """Tokens of a text with each of the ``phrases`` (words with single blanks, any case) as one token joined by ``mark``; longer phrases first."""
+    joined = F.concat(F.lit(" "), F.array_join(words(text), " "), F.lit(" "))
+    for phrase in sorted(phrases, key=lambda p: (-p.count(" "), p)):
+        pattern = r"(?i)(?<= )" + " ".join(f"\\Q{w}\\E" for w in phrase.split(" ")) + "(?= )"
+        joined = F.regexp_replace(joined, pattern, phrase.lower().replace(" ", mark))
+    return words(joined)
+
+
 def bag_of_words(df: DataFrame, key: str, text: str, weights: DataFrame, unknown: float, cumulative: bool = True) -> DataFrame:
     """(key, token, value): weight of each token as it is, else in lower case, else ``unknown``; summed, or once with ``cumulative`` off."""
     tokens = df.select(key, F.explode(words(F.col(text))).alias("token"))

@@ -176,9 +176,9 @@ def vector_functions(spark, sf_dir):
     )
 
 
-@query("ragged_reductions", "SELECT label, d, round(sum(v), 4) AS s, round(avg(v), 6) AS m, max(v) AS top, arg_min(v, vec_id) AS first_v, arg_max(v, vec_id) AS last_v FROM (SELECT vec_id, label, unnest(list_slice(embedding, 1, 4))::DOUBLE AS v, unnest(range(4)) AS d FROM embeddings) GROUP BY label, d")
+@query("ragged_reductions", "SELECT label, d, round(sum(v), 4) AS s, round(avg(v), 6) AS m, max(v) AS top, arg_min(v, vec_id) AS first_v, arg_max(v, vec_id) AS last_v FROM (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, unnest(range(len(embedding))) AS d FROM embeddings) GROUP BY label, d")
 def ragged_reductions(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.posexplode(F.slice(F.col("embedding").cast("array<double>"), 1, 4)).alias("d", "v"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.posexplode(F.col("embedding").cast("array<double>")).alias("d", "v"))
     return rows.groupBy("label", "d").agg(F.round(F.sum("v"), 4).alias("s"), F.round(F.avg("v"), 6).alias("m"), F.max("v").alias("top"), F.min_by("v", "vec_id").alias("first_v"), F.max_by("v", "vec_id").alias("last_v"))
 
 

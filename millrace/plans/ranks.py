@@ -12,24 +12,24 @@ from millrace.plans.registry import query, table
 @query(
     "bm25_top_k",
     """WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda t: t <> '') AS w FROM documents), n AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM d),
-       q AS (SELECT item_id AS qid, unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda t: t <> ''))) AS term FROM benchmark WHERE item_id < 20),
+       q AS (SELECT item_id AS qid, unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda t: t <> ''))) AS term FROM benchmark),
        t AS (SELECT doc_id, len(w) AS len, unnest(w) AS term FROM d), f AS (SELECT term, doc_id, count(*) AS tf, any_value(len) AS len FROM t WHERE term IN (SELECT term FROM q) GROUP BY term, doc_id),
        g AS (SELECT term, count(*) AS df FROM f GROUP BY term), s AS (SELECT qid, doc_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len / mean))) AS score FROM q JOIN f USING (term) JOIN g USING (term), n GROUP BY qid, doc_id)
        SELECT qid, doc_id, round(score, 4) AS score, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc_id) AS rank FROM s QUALIFY rank <= 5""",
 )
 def bm25_top_k(spark, sf_dir):
-    queries = table(spark, sf_dir, "benchmark").where("item_id < 20").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))
+    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))
     return ranking.bm25(table(spark, sf_dir, "documents"), queries, 5).withColumn("score", F.round("score", 4))
 
 
 @query(
     "vector_top_k",
     """SELECT q.vec_id AS qid, e.vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS score,
-       row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) DESC, e.vec_id) AS rank FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id < 10 QUALIFY rank <= 5""",
+       row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 9) DESC, e.vec_id) AS rank FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0 QUALIFY rank <= 5""",
 )
 def vector_top_k(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return ranking.vector_top_k(vectors, vectors.where("vec_id < 10"), 5).withColumn("score", F.round("score", 6))
+    return ranking.vector_top_k(vectors, vectors.where("vec_id % 50 = 0"), 5).withColumn("score", F.round("score", 6))
 
 
 _RANKED = "r AS (SELECT o_custkey, o_orderkey, o_totalprice, o_orderpriority, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders)"

@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from millrace.plans import evaluation, joins, more, ranks, relational, selection, streams, texts, tokens_and_objectives  # noqa: F401
+    from millrace.plans import evaluation, further, joins, more, ranks, relational, selection, streams, texts, tokens_and_objectives  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

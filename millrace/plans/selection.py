@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
 from millrace.operators import filters, routers
@@ -44,8 +46,10 @@ def filter_attributes(spark, sf_dir):
 
 @query("filter_dates", "SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1995-06-01' AND o_orderdate < TIMESTAMP '1995-09-01 12:00:00'")
 def filter_dates(spark, sf_dir):
-    at = lambda s: F.lit(s).cast("timestamp_ntz")
-    return table(spark, sf_dir, "orders").where((F.col("o_orderdate") >= at("1995-06-01")) & (F.col("o_orderdate") < at("1995-09-01 12:00:00"))).select("o_orderkey")
+    """A day without zone, and a moment two hours ahead of UTC."""
+    later = datetime(1995, 9, 1, 14, tzinfo=timezone(timedelta(hours=2)))
+    tree = {"operator": "AND", "conditions": [{"field": "o_orderdate", "operator": ">=", "value": "1995-06-01"}, {"field": "o_orderdate", "operator": "<", "value": later}]}
+    return table(spark, sf_dir, "orders").where(filters.compile_filter(tree)).select("o_orderkey")
 
 
 @query("filter_retriever_count", "SELECT lang, count(*) AS n_documents FROM documents WHERE n_chars > 1000 GROUP BY lang")

@@ -9,10 +9,10 @@ from millrace.operators import text as T
 from millrace.plans.registry import query, table
 
 
-@query("text_clean", r"""SELECT doc_id, md5(translate(translate(lower(regexp_replace(text, '(?i)(?:the )|(?:\bof\b)', '', 'g')), '!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~', ''), '0123456789', '')) AS cleaned FROM documents WHERE lang = 'en'""")
+@query("text_clean", r"""SELECT doc_id, md5(translate(translate(lower(regexp_replace(text, '(?i)(?:the )|(?:\bof\b)', '', 'g')), '!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~', ''), '0123456789', '')) AS cleaned FROM documents""")
 def text_clean(spark, sf_dir):
     cleaned = T.clean(F.col("text"), ["the ", r"\bof\b"], lower=True, punctuation=True, digits=True)
-    return table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", F.md5(cleaned).alias("cleaned"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(cleaned).alias("cleaned"))
 
 
 @query("whitespace_tokens", r"SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''))::INT AS n_words FROM documents")
@@ -119,16 +119,29 @@ def chunk_dedup(spark, sf_dir):
     return groups.withColumn("eligible", F.conv(F.right("hash", F.lit(4)), 16, 10).cast("int") % 1024 == 0)
 
 
+def _before(df, by: list[str], order: str, value: str, width: int = 4096):
+    """Sum of ``value`` over the rows before, in two levels: ranges of ``width`` orders, then rows of a range."""
+    df = df.withColumn("_range", F.floor(F.col(order) / width))
+    sums = df.groupBy(*by, "_range").agg(F.sum(value).alias("_sum"))
+    upto = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_range").alias("_r"), F.coalesce(F.sum("_sum").over(upto), F.lit(0)).alias("_base"))
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by] + [F.col("_range") == F.col("_r")]
+    within = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return df.join(sums, on).withColumn("before", F.col("_base") + F.coalesce(F.sum(value).over(within), F.lit(0)))
+
+
 @query("block_packing", "SELECT source, doc_id, sum(n_chars) OVER w - n_chars AS offset_chars, CAST(floor((sum(n_chars) OVER w - n_chars) / 20000) AS BIGINT) AS block FROM documents WINDOW w AS (PARTITION BY source ORDER BY doc_id)")
 def block_packing(spark, sf_dir):
-    before = F.sum("n_chars").over(Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_chars")
-    return table(spark, sf_dir, "documents").select("source", "doc_id", before.alias("offset_chars"), F.floor(before / 20000).alias("block"))
+    rows = _before(table(spark, sf_dir, "documents").select("source", "doc_id", "n_chars"), ["source"], "doc_id", "n_chars")
+    return rows.select("source", "doc_id", F.col("before").alias("offset_chars"), F.floor(F.col("before") / 20000).alias("block"))
 
 
-@query("range_verification", "SELECT source, sha256('key' || string_agg(md5(text), '' ORDER BY doc_id)) AS range_hash FROM documents GROUP BY source")
+@query("range_verification", "SELECT source, doc_id // 1000 AS range, sha256('key' || string_agg(md5(text), '' ORDER BY doc_id)) AS range_hash FROM documents GROUP BY source, doc_id // 1000")
 def range_verification(spark, sf_dir):
-    parts = table(spark, sf_dir, "documents").groupBy("source").agg(F.sort_array(F.collect_list(F.struct("doc_id", F.md5("text").alias("h")))).alias("a"))
-    return parts.select("source", F.sha2(F.concat(F.lit("key"), F.array_join("a.h", "")), 256).alias("range_hash"))
+    """Keyed hash of the chunk hashes of each range of a thousand ids of a source."""
+    rows = table(spark, sf_dir, "documents").withColumn("range", F.floor(F.col("doc_id") / 1000))
+    parts = rows.groupBy("source", "range").agg(F.sort_array(F.collect_list(F.struct("doc_id", F.md5("text").alias("h")))).alias("a"))
+    return parts.select("source", "range", F.sha2(F.concat(F.lit("key"), F.array_join("a.h", "")), 256).alias("range_hash"))
 
 
 @query("metadata_merge", "SELECT doc_id, CASE WHEN lang = 'en' THEN 'override' ELSE source END AS source, lang FROM documents")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
+from millrace.operators import ranking
 from millrace.operators import tokens as K
 from millrace.plans.registry import query, table
 
@@ -40,7 +41,12 @@ def rule_lemmas(spark, sf_dir):
     return K.lemmas(forms, "token", [("s", ""), ("ing", "")], {"were": "be"}, forms.select(F.col("token").alias("form"))).select("token", "lemma")
 
 
-@query("phrase_rules", None)
+@query(
+    "phrase_rules",
+    """WITH t AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents), l AS (SELECT doc_id, unnest(w) AS t0, unnest(range(len(w))) AS i FROM t), k AS (SELECT doc_id, i, lower(t0) AS t0 FROM l),
+       n AS (SELECT *, lag(t0) OVER w AS p1, lag(t0, 2) OVER w AS p2 FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+       SELECT doc_id, CASE WHEN p1 = 'of' AND p2 = 'and' THEN i - 2 WHEN p1 = 'of' THEN i - 1 ELSE i END::INT AS start, (i + 1)::INT AS end, CASE WHEN p1 = 'of' AND p2 = 'and' THEN 'C' WHEN p1 = 'of' THEN 'A' ELSE 'B' END AS label FROM n WHERE t0 = 'the'""",
+)
 def phrase_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.split("text", " ").alias("w"))
     patterns = spark.createDataFrame([("of the", "A"), ("the", "B"), ("and of the", "C")], "phrase string, label string")
@@ -90,6 +96,12 @@ def _pairs(spark, sf_dir):
     return b.join(other, "batch")
 
 
+def _log_sum_exp(s, by):
+    """Cross entropy of each group's own score, the largest score taken out so that nothing overflows."""
+    s = s.withColumn("_top", F.max("s").over(Window.partitionBy(*by)))
+    return s.groupBy(*by).agg((F.max("_top") + F.log(F.sum(F.exp(F.col("s") - F.col("_top")))) - F.max(F.when(F.col("own"), F.col("s")))).alias("loss"))
+
+
 @query(
     "multiple_negatives_ranking",
     f"""WITH {_BATCH}, s AS (SELECT a.batch, a.vec_id, a.vec_id = c.vec_id AS own, 20 * list_cosine_similarity(a.x, list_transform(range(1, len(c.x) + 1), lambda i: c.x[i] + 0.1)) AS s FROM b a JOIN b c USING (batch)),
@@ -98,7 +110,7 @@ def _pairs(spark, sf_dir):
 def multiple_negatives_ranking(spark, sf_dir):
     moved = F.transform("y", lambda v: v + 0.1)
     s = _pairs(spark, sf_dir).select("batch", "vec_id", (F.col("vec_id") == F.col("other")).alias("own"), (20 * V.cosine(F.col("x"), moved)).alias("s"))
-    rows = s.groupBy("batch", "vec_id").agg((F.log(F.sum(F.exp("s"))) - F.max(F.when(F.col("own"), F.col("s")))).alias("loss"))
+    rows = _log_sum_exp(s, ["batch", "vec_id"])
     return rows.groupBy("batch").agg(F.round(F.avg("loss"), 5).alias("loss"))
 
 
@@ -140,10 +152,16 @@ def ranked_pair_loss(spark, sf_dir):
     return p.join(q, "batch").groupBy("batch").agg(F.round(F.log(1 + F.coalesce(F.sum(e), F.lit(0.0))), 5).alias("loss"))
 
 
-@query("paraphrase_mining", f"WITH {_BATCH} SELECT a.batch, a.vec_id AS a, c.vec_id AS b, round(list_cosine_similarity(a.x, c.x), 6) AS score FROM b a JOIN b c ON a.batch = c.batch AND a.vec_id < c.vec_id QUALIFY row_number() OVER (PARTITION BY a.batch ORDER BY list_cosine_similarity(a.x, c.x) DESC, a.vec_id, c.vec_id) <= 3")
+@query(
+    "paraphrase_mining",
+    """WITH s AS (SELECT a.vec_id AS q, c.vec_id AS o, list_cosine_similarity(a.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS s FROM embeddings a JOIN embeddings c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+       t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY q ORDER BY round(s, 9) DESC, o) <= 5) SELECT least(q, o) AS a, greatest(q, o) AS b, round(max(s), 6) AS score FROM t GROUP BY ALL""",
+)
 def paraphrase_mining(spark, sf_dir):
-    s = _pairs(spark, sf_dir).where("vec_id < other").select("batch", F.col("vec_id").alias("a"), F.col("other").alias("b"), V.cosine(F.col("x"), F.col("y")).alias("score"))
-    return s.withColumn("_r", F.row_number().over(Window.partitionBy("batch").orderBy(F.desc("score"), "a", "b"))).where("_r <= 3").select("batch", "a", "b", F.round("score", 6).alias("score"))
+    """The nearest pairs over the whole corpus of the vectors whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = ranking.vector_top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+    return found.groupBy(F.least("qid", "vec_id").alias("a"), F.greatest("qid", "vec_id").alias("b")).agg(F.round(F.max("score"), 6).alias("score"))
 
 
 @query("no_duplicate_batches", "SELECT doc_id, row_number() OVER (PARTITION BY lower(trim(source, ' ')) ORDER BY doc_id) - 1 AS batch FROM documents")
@@ -205,9 +223,9 @@ def unpivot_flags(spark, sf_dir):
     return table(spark, sf_dir, "labels").unpivot("doc_id", ["quality", "toxic"], "flag", "value")
 
 
-@query("softmax_loss", "SELECT label, round(avg(ln(list_sum(list_transform(x, lambda v: exp(v)))) - x[label + 1]), 5) AS loss FROM (SELECT label, list_slice(embedding::DOUBLE[], 1, 10) AS x FROM embeddings) GROUP BY label")
+@query("softmax_loss", "SELECT label, round(avg(ln(list_sum(list_transform(x, lambda v: exp(v)))) - x[label + 1]), 5) AS loss FROM (SELECT label, embedding::DOUBLE[] AS x FROM embeddings) GROUP BY label")
 def softmax_loss(spark, sf_dir):
-    logits = table(spark, sf_dir, "embeddings").select("label", F.slice(F.col("embedding").cast("array<double>"), 1, 10).alias("x"))
+    logits = table(spark, sf_dir, "embeddings").select("label", F.col("embedding").cast("array<double>").alias("x"))
     return logits.groupBy("label").agg(F.round(F.avg(-F.log(F.get(V.softmax(F.col("x")), F.col("label")))), 5).alias("loss"))
 
 

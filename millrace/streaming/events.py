@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from millrace.sources import scratch
+
 
 def read_events(spark: SparkSession, folder: str, schema, files: str = "*.parquet", files_per_trigger: int = 1) -> DataFrame:
     """Parquet files of a folder as they arrive, oldest first."""
@@ -52,12 +54,18 @@ def accumulate(events: DataFrame, key: str, value: str, fold: Callable[[float, f
 
 
 def drain(stream: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> DataFrame:
-    """Runs a stream over all that is there into a memory table and returns that."""
-    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
-    writer.start().awaitTermination()
-    return stream.sparkSession.table(name)
+    """Runs a stream over all that is there into a Parquet table, a folder for each batch, and returns that: the last batch in complete mode, else all."""
+    spark, folder, done = stream.sparkSession, scratch.folder(stream.sparkSession, name), []
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={epoch}")  # a repeated batch takes its own place
+        done.append(epoch)
+
+    writer = stream.writeStream.foreachBatch(keep).outputMode(mode).trigger(availableNow=True)
+    writer.option("checkpointLocation", checkpoint or f"{folder}-progress").start().awaitTermination()
+    if not done:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(f"{folder}/batch={max(done)}" if mode == "complete" else f"{folder}/*")
 
 
 def upsert_batches(stream: DataFrame, path: str, key: str, order: str):
@@ -65,10 +73,10 @@ def upsert_batches(stream: DataFrame, path: str, key: str, order: str):
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        latest = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), order).alias("r")).select("r.*")
-        if epoch:
-            old = spark.read.parquet(f"{path}/v{epoch - 1}")
-            latest = old.join(latest.select(key), key, "left_anti").unionByName(latest)
+        rows = batch
+        if epoch:  # a late, older row must not take the place of a newer one
+            rows = spark.read.schema(batch.schema).parquet(f"{path}/v{epoch - 1}").unionByName(batch)
+        latest = rows.groupBy(key).agg(F.max_by(F.struct(*batch.columns), order).alias("r")).select("r.*")
         latest.write.mode("overwrite").parquet(f"{path}/v{epoch}")
 
     return stream.writeStream.foreachBatch(write).trigger(availableNow=True).start()

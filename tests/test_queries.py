@@ -33,7 +33,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_oracle_runs(spark, name):
-    assert QUERIES[name](spark, SF).count() >= 0
+    assert QUERIES[name](spark, SF).count() > 0  # their results are tested in test_further
 
 
 def test_entry_imports():
