@@ -71,49 +71,62 @@ def index_vectors(names: list[str], dim: int = DIM) -> np.ndarray:
     import xxhash
 
     hashes = np.array([xxhash.xxh64_intdigest(n, 5) for n in names], np.uint64)
-    out = np.zeros((len(names), dim), np.float32)
+    out = np.zeros((len(names), dim), np.int8)
     rows = np.arange(len(names))
     with np.errstate(over="ignore"):
         for k in range(NONZERO):
             h = mix(hashes + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15))
-            out[rows, (h % np.uint64(dim)).astype(np.int64)] += np.where(h >> np.uint64(63), np.float32(1), np.float32(-1))
+            out[rows, (h % np.uint64(dim)).astype(np.int64)] += np.where(h >> np.uint64(63), np.int8(1), np.int8(-1))
     return out
 
 
-def _neighbour_means(texts: list[np.ndarray], base: np.ndarray, window: int) -> np.ndarray:
-    """Mean of the vectors of all words at most ``window`` places away, for each word."""
-    n = len(base)
-    pairs = [np.zeros(0, np.int64)]
+def _add_neighbours(near: np.ndarray, seen: np.ndarray, base: np.ndarray, texts: list[np.ndarray], window: int) -> None:
+    """Adds to ``near`` the vectors of all words at most ``window`` places away from each word of ``texts``, to ``seen`` their number."""
+    n, pairs = len(base), []
     for ids in texts:
         for step in range(1, window + 1):
             pairs += [ids[:-step] * n + ids[step:], ids[step:] * n + ids[:-step]]
     pairs, times = np.unique(np.concatenate(pairs), return_counts=True)
     word, other = np.divmod(pairs, n)
-    near, seen = np.zeros_like(base), np.bincount(word, times, n)
-    for at in range(0, len(pairs), 200_000):  # sums of runs of one word
-        w, part = word[at : at + 200_000], base[other[at : at + 200_000]] * times[at : at + 200_000, None].astype(np.float32)
+    seen += np.bincount(word, times, n).astype(np.float32)
+    for at in range(0, len(pairs), 50_000):  # sums of runs of one word
+        w, part = word[at : at + 50_000], base[other[at : at + 50_000]] * times[at : at + 50_000, None].astype(np.float32)
         first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
         near[w[first]] += np.add.reduceat(part, first, axis=0)
-    return near / np.maximum(seen, 1)[:, None].astype(np.float32)
 
 
 def fit_vectors(texts: list[str], dim: int = DIM, window: int = 2) -> Vectors:
-    split = [t.split() for t in texts]
-    kept = sorted({w for t in split for w in t})
+    """Vectors of all words and shapes of ``texts``; texts are split twice, so that their words are never held together."""
+    counts: dict[str, int] = {}
+    for t in texts:
+        for w in t.split():
+            counts[w] = counts.get(w, 0) + 1
+    kept = sorted(counts)
     of_word = list(map(shape, kept))
     names = ["\x00", *sorted(set(of_word)), *kept]
+    words = len(names) - len(kept)
     rows = {w: i for i, w in enumerate(names)}
     base = index_vectors(names, dim)
-    base[len(names) - len(kept) :] += base[[rows[x] for x in of_word]]
-    ids = [np.fromiter(map(rows.__getitem__, t), np.int64, len(t)) for t in split]
-    near = _neighbour_means(ids, base, window)
+    shapes = np.fromiter(map(rows.__getitem__, of_word), np.int64, len(kept))
+    for at in range(0, len(kept), 50_000):
+        base[words + at : words + at + 50_000] += base[shapes[at : at + 50_000]]
+    near, seen = np.zeros(base.shape, np.float32), np.zeros(len(names), np.float32)
+    some, size = [], 0
+    for i, t in enumerate(texts):
+        split = t.split()
+        some.append(np.fromiter(map(rows.__getitem__, split), np.int64, len(split)))
+        size += len(split)
+        if size > 50_000 or i + 1 == len(texts):
+            _add_neighbours(near, seen, base, some, window)
+            some, size = [], 0
+    near /= np.maximum(seen, 1)[:, None]
     # a shape means what its words mean on average
-    words = np.bincount(np.concatenate(ids) if ids else np.zeros(0, np.int64), minlength=len(names))[len(names) - len(kept) :]
-    shapes = np.array([rows[x] for x in of_word], np.int64)
-    total = np.bincount(shapes, words, len(names))
+    times = np.fromiter(map(counts.__getitem__, kept), np.float64, len(kept))
+    total = np.maximum(np.bincount(shapes, times, words), 1)
     for d in range(dim):
-        near[:, d] += np.bincount(shapes, near[len(names) - len(kept) :, d] * words, len(names)) / np.maximum(total, 1)
-    return Vectors(rows, (base + near).astype(np.float32))
+        near[:words, d] += np.bincount(shapes, near[words:, d] * times, words) / total
+    near += base
+    return Vectors(rows, near)
 
 
 def features(text: str | None, vectors: Vectors) -> np.ndarray:
