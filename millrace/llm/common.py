@@ -24,9 +24,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, what: str) -> str:
-    """A new path below the folder that driver and executors share (``spark.checkpoint.dir``)."""
+    """A new path below the folder that driver and executors share (``spark.checkpoint.dir``); only a local session may lack that setting."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:  # only where the session has none, as in local tests
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         if not _LOCAL:
             _LOCAL.append(f"file://{tempfile.mkdtemp(prefix='millrace-')}")
         base = _LOCAL[0]
