@@ -39,6 +39,17 @@ def by_query(hits: DataFrame, qid: str = "qid", rank: str = "rank", k: int | Non
     )
 
 
+def in_sequence(parts: list[tuple[str, DataFrame]]) -> DataFrame:
+    """(name, value): the metrics of one-row results in turn under their prefixes, then ``sequential_score``, the last result's first metric."""
+    out = None
+    for prefix, result in parts:
+        names = result.columns
+        long = result.select(F.explode(F.array(*[F.struct(F.lit(f"{prefix}_{c}").alias("name"), F.col(c).cast("double").alias("value")) for c in names])).alias("m")).select("m.*")
+        out = long if out is None else out.unionByName(long)
+    last = parts[-1][1]
+    return out.unionByName(last.select(F.lit("sequential_score").alias("name"), F.col(last.columns[0]).cast("double").alias("value")))
+
+
 def exact_match(predicted: Column, truth: Column) -> Column:
     return predicted.eqNullSafe(truth).cast("int")
 

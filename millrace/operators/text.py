@@ -204,3 +204,14 @@ def matches_schema(json: Column, schema: dict) -> Column:
     for t in tests[1:]:
         out = out & F.coalesce(t, F.lit(False))
     return out
+
+
+def tagged(kind: str, record: Column) -> Column:
+    """JSON of a struct with the name of its type beside its fields."""
+    return F.to_json(F.struct(F.lit(kind).alias("type"), record.alias("fields")))
+
+
+def untagged(json: Column, kind: str, schema: str) -> Column:
+    """The struct of JSON made by ``tagged`` with that type, null for others."""
+    read = F.from_json(json, f"type string, fields struct<{schema.replace(' ', ':').replace(',:', ', ')}>")
+    return F.when(read["type"] == kind, read["fields"])

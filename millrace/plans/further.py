@@ -320,3 +320,49 @@ def attention_pooling(spark, sf_dir):
     s = rows.join(F.broadcast(q), "i").groupBy("vec_id", "label").agg(F.sum(F.col("x") * F.col("q")).alias("s"))
     w = s.withColumn("w", F.exp(F.col("s") - F.max("s").over(Window.partitionBy("label"))))
     return w.groupBy("label").agg(F.round(F.sum(F.col("w") * F.col("w")) / F.sum("w") / F.sum("w"), 6).alias("concentration"), F.round(F.sum(F.col("w") * F.col("vec_id")) / F.sum("w"), 4).alias("centre"))
+
+
+@query(
+    "sequential_evaluation",
+    """WITH r AS (SELECT o_custkey AS qid, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) - 1 AS rank, (o_orderpriority = '1-URGENT')::INT AS hit FROM orders),
+       m AS (SELECT qid, coalesce(1.0 / (min(rank) FILTER (hit = 1) + 1), 0) AS mrr, coalesce(max(hit) FILTER (rank < 3), 0) AS recall FROM r GROUP BY qid), c AS (SELECT corr(quality, toxic) AS c FROM labels)
+       SELECT * FROM (SELECT 'orders_mrr' AS name, round(avg(mrr), 6) AS value FROM m UNION ALL SELECT 'orders_recall_at_3', round(avg(recall), 6) FROM m UNION ALL SELECT 'labels_pearson', round(c, 6) FROM c
+       UNION ALL SELECT 'sequential_score', round(c, 6) FROM c)""",
+)
+def sequential_evaluation(spark, sf_dir):
+    """Several evaluators in turn, their metrics under prefixes; the last one's score stands for all."""
+    orders = table(spark, sf_dir, "orders")
+    order = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
+    run = orders.select(F.col("o_custkey").alias("qid"), F.col("o_orderkey").alias("doc_id"), (F.row_number().over(order) - 1).alias("rank"))
+    hits = metrics.ranked_hits(run, orders.where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("qid"), F.col("o_orderkey").alias("doc_id")))
+    labels = table(spark, sf_dir, "labels").agg(F.corr("quality", "toxic").alias("pearson"))
+    parts = [
+        metrics.by_query(hits).agg(F.avg("mrr").alias("mrr")), metrics.by_query(hits, k=3).agg(F.avg("recall_single").alias("recall_at_3")), labels,
+    ]
+    return metrics.in_sequence(list(zip(("orders", "orders", "labels"), parts, strict=True))).select("name", F.round("value", 6).alias("value"))
+
+
+@query("tagged_json", "SELECT event_id, 'event' AS kind, user_id, value FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id, 'visit', user_id, NULL FROM events WHERE event_id % 2 = 1")
+def tagged_json(spark, sf_dir):
+    """Two record types through JSON that names its type, read back by the tag."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    coded = events.select(F.when(F.col("event_id") % 2 == 0, T.tagged("event", F.struct("event_id", "user_id", "value"))).otherwise(T.tagged("visit", F.struct("event_id", "user_id"))).alias("j"))
+    event, visit = T.untagged(F.col("j"), "event", "event_id long, user_id long, value double"), T.untagged(F.col("j"), "visit", "event_id long, user_id long")
+    read = coded.select(event.alias("e"), visit.alias("v"))
+    kind = F.when(F.col("e").isNotNull(), "event").when(F.col("v").isNotNull(), "visit")
+    return read.select(F.coalesce("e.event_id", "v.event_id").alias("event_id"), kind.alias("kind"), F.coalesce("e.user_id", "v.user_id").alias("user_id"), F.col("e.value").alias("value"))
+
+
+_TOP = "list_transform(range(1, len({0}) + 1), lambda i: CASE WHEN len(list_filter(range(1, len({0}) + 1), lambda j: abs({0}[j]) > abs({0}[i]) OR (abs({0}[j]) = abs({0}[i]) AND j < i))) < 8 THEN {0}[i] ELSE 0 END)"
+
+
+@query(
+    "sparse_similarity",
+    f"""WITH s AS (SELECT vec_id, {_TOP.format("x")} AS x FROM (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings))
+        SELECT a.vec_id, round(list_cosine_similarity(a.x, b.x), 6) AS cosine, round(list_dot_product(a.x, b.x), 5) AS dot FROM s a JOIN s b ON b.vec_id = a.vec_id + 1""",
+)
+def sparse_similarity(spark, sf_dir):
+    """Similarities of vectors of which the eight largest components are kept."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", V.keep_largest(F.col("embedding").cast("array<double>"), 8).alias("x"))
+    both = e.join(e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("x").alias("y")), "vec_id")
+    return both.select("vec_id", F.round(V.cosine(F.col("x"), F.col("y")), 6).alias("cosine"), F.round(V.dot(F.col("x"), F.col("y")), 5).alias("dot"))
