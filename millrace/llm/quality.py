@@ -1,21 +1,22 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer network.
 
-Random indexing: a word's index vector is a sparse ternary vector derived from
-its hash; its meaning vector is its own index vector, that of its shape, and the
-mean of those of its neighbours in the fitting texts.  Every word of the fitting
-texts has a vector, without a cut by rank or count.  A word that they lack is
-known by its shape (letter case, digits, punctuation at its end, length; of the
-whole word), which has a meaning vector of its own.  A document is pooled twice,
-over its tokens and over its distinct words, beside a few ratios (distinct words,
-repeated words and lines, length).  A two-layer numpy network maps that to a
-probability, which a temperature fitted on rows apart from its training rows
-calibrates.
-
-The classifier, word vectors included, is fitted on a bounded sample of the
-labelled training rows (``fit_rows`` rows and ``fit_chars`` characters, whole
-texts in hash order of the ids up to the first that passes the bound); scoring
-reads every whole text.  Labels, language, source and ids are no inputs of a
-score.
+Random indexing: a word falls into one of ``ROWS`` rows by its hash, and a row has
+a sparse ternary index vector.  The context of a row is the sum of the index
+vectors of the words at most ``WINDOW`` places from its words, over all documents
+(``contexts``: whole texts, sums within a task, then by blocks of rows; whole
+numbers, so the order of adding does not matter).  A word's vector is its row's
+index vector, the mean of its context, and an index vector of its shape (letter
+case, digits, punctuation at its end, length; of the whole word), which tells
+words of one row apart.  No word is left out by rank or count, and the table's
+size does not grow with the corpus.  A document is pooled twice, over its tokens
+and over its distinct words, beside a few ratios (distinct words, repeated words
+and lines, length).  A two-layer numpy network maps that to a probability, which a
+temperature fitted on rows apart from its training rows calibrates.
+
+The network alone is fitted on a bounded sample of the labelled training rows
+(``fit_rows`` rows and ``fit_chars`` characters, whole texts in hash order of the
+ids up to the first that passes the bound); contexts and scores read every whole
+text.  Labels, language, source and ids are no inputs of a score.
 
 Defined cases: a null text counts as empty, empty texts are scored like any
 other; labels without a text or with a null label are not used, of repeated
@@ -28,9 +29,11 @@ quality_score gives way to the score, other columns are kept.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +41,9 @@ from millrace.llm.common import mix, read
 
 DIM = 64
 NONZERO = 8
+ROWS, WINDOW = 1 << 16, 2
+BLOCK = 1 << 10  # rows that are summed together
+FLUSH = 1 << 20  # tokens of a task that are added at once
 FIT_ROWS, FIT_CHARS = 3_000, 9_000_000
 HIDDEN, EPOCHS, SEED = 32, 60, 11
 
@@ -51,21 +57,6 @@ def shape(word: str) -> str:
     return f"\x00{kind}{case}{min(len(word), 40).bit_length()}{tail.group() if tail else ''}"
 
 
-class Vectors(dict):
-    """Word to row of ``table``; words outside the vocabulary are resolved by shape and remembered, up to a bound."""
-
-    def __init__(self, rows: dict[str, int], table: np.ndarray, most: int = 300_000):
-        super().__init__(rows)
-        self.rows, self.table, self.most = rows, table, most
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > self.most:
-            self.clear()
-            self.update(self.rows)
-        self[word] = row = self.rows.get(shape(word), 0)
-        return row
-
-
 def index_vectors(names: list[str], dim: int = DIM) -> np.ndarray:
     """Sparse ternary vectors, each a function of its name's hash alone: ``NONZERO`` places, added where two fall together."""
     import xxhash
@@ -80,53 +71,121 @@ def index_vectors(names: list[str], dim: int = DIM) -> np.ndarray:
     return out
 
 
-def _add_neighbours(near: np.ndarray, seen: np.ndarray, base: np.ndarray, texts: list[np.ndarray], window: int) -> None:
-    """Adds to ``near`` the vectors of all words at most ``window`` places away from each word of ``texts``, to ``seen`` their number."""
-    n, pairs = len(base), []
-    for ids in texts:
-        for step in range(1, window + 1):
-            pairs += [ids[:-step] * n + ids[step:], ids[step:] * n + ids[:-step]]
-    pairs, times = np.unique(np.concatenate(pairs), return_counts=True)
-    word, other = np.divmod(pairs, n)
-    seen += np.bincount(word, times, n).astype(np.float32)
-    for at in range(0, len(pairs), 50_000):  # sums of runs of one word
-        w, part = word[at : at + 50_000], base[other[at : at + 50_000]] * times[at : at + 50_000, None].astype(np.float32)
-        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-        near[w[first]] += np.add.reduceat(part, first, axis=0)
-
-
-def fit_vectors(texts: list[str], dim: int = DIM, window: int = 2) -> Vectors:
-    """Vectors of all words and shapes of ``texts``; texts are split twice, so that their words are never held together."""
-    counts: dict[str, int] = {}
-    for t in texts:
-        for w in t.split():
-            counts[w] = counts.get(w, 0) + 1
-    kept = sorted(counts)
-    of_word = list(map(shape, kept))
-    names = ["\x00", *sorted(set(of_word)), *kept]
-    words = len(names) - len(kept)
-    rows = {w: i for i, w in enumerate(names)}
-    base = index_vectors(names, dim)
-    shapes = np.fromiter(map(rows.__getitem__, of_word), np.int64, len(kept))
-    for at in range(0, len(kept), 50_000):
-        base[words + at : words + at + 50_000] += base[shapes[at : at + 50_000]]
-    near, seen = np.zeros(base.shape, np.float32), np.zeros(len(names), np.float32)
-    some, size = [], 0
-    for i, t in enumerate(texts):
-        split = t.split()
-        some.append(np.fromiter(map(rows.__getitem__, split), np.int64, len(split)))
-        size += len(split)
-        if size > 50_000 or i + 1 == len(texts):
-            _add_neighbours(near, seen, base, some, window)
-            some, size = [], 0
-    near /= np.maximum(seen, 1)[:, None]
-    # a shape means what its words mean on average
-    times = np.fromiter(map(counts.__getitem__, kept), np.float64, len(kept))
-    total = np.maximum(np.bincount(shapes, times, words), 1)
-    for d in range(dim):
-        near[:words, d] += np.bincount(shapes, near[words:, d] * times, words) / total
-    near += base
-    return Vectors(rows, near)
+def row_vectors(rows: int = ROWS) -> np.ndarray:
+    """Index vector of every row, and a last one of zeros that stands between texts."""
+    return np.concatenate([index_vectors([f"row {i}" for i in range(rows)]), np.zeros((1, DIM), np.int8)])
+
+
+class Rows(dict):
+    """Word to row by hash; remembered up to a bound."""
+
+    def __init__(self, rows: int = ROWS, most: int = 200_000):
+        super().__init__()
+        self.rows, self.most = rows, most
+
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        if len(self) > self.most:
+            self.clear()
+        self[word] = row = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 3) % self.rows
+        return row
+
+
+def add_contexts(near: np.ndarray, seen: np.ndarray, base: np.ndarray, ids: np.ndarray, window: int = WINDOW) -> None:
+    """Adds to ``near`` the index vectors of the words around each word of ``ids`` (texts apart by ``window`` times the last row), to ``seen`` their number."""
+    apart = len(base) - 1
+    order = np.argsort(ids, kind="stable")
+    order = order[: np.searchsorted(ids[order], apart)]
+    padded = np.concatenate([np.full(window, apart, ids.dtype), ids, np.full(window, apart, ids.dtype)])
+    for at in range(0, len(order), 1 << 17):
+        places = order[at : at + (1 << 17)]
+        total, number = np.zeros((len(places), base.shape[1]), np.int16), np.zeros(len(places), np.int64)
+        for step in range(2 * window + 1):
+            if step != window:
+                other = padded[places + step]
+                total += base[other]
+                number += other != apart
+        rows = ids[places]
+        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        near[rows[first]] += np.add.reduceat(total, first, axis=0, dtype=np.int64)
+        seen[rows[first]] += np.add.reduceat(number, first)
+
+
+def contexts(docs: DataFrame, text: str = "text", rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Context sums of every row and the number of words in them, over all whole texts of ``docs``."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, row_of = row_vectors(rows), Rows(rows)
+        near, seen = np.zeros((rows, DIM), np.int64), np.zeros(rows, np.int64)
+        held, size, gap = [], 0, np.full(WINDOW, rows, np.int32)
+        for batch in batches:
+            for t in batch.column(0):
+                words = (t.as_py() or "").split()
+                if words:
+                    held += [np.fromiter(map(row_of.__getitem__, words), np.int32, len(words)), gap]
+                    size += len(words)
+                if size > FLUSH:
+                    add_contexts(near, seen, base, np.concatenate(held))
+                    held, size = [], 0
+        if held:
+            add_contexts(near, seen, base, np.concatenate(held))
+        for block in range(0, rows, BLOCK):
+            at = block + np.flatnonzero(seen[block : block + BLOCK])
+            if len(at):
+                values = near[at]
+                small = values.astype(np.int16)
+                kind = 2 if (small == values).all() else 8
+                packed = (small if kind == 2 else values).tobytes()
+                yield pa.RecordBatch.from_pylist([{"block": block, "at": at.astype(np.int32).tobytes(), "seen": seen[at].tobytes(), "kind": kind, "near": packed}], schema)
+
+    def added(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near, seen, block = np.zeros((BLOCK, DIM), np.int64), np.zeros(BLOCK, np.int64), key[0].as_py()
+        for batch in batches:
+            for r in batch.to_pylist():
+                at = np.frombuffer(r["at"], np.int32) - block
+                seen[at] += np.frombuffer(r["seen"], np.int64)
+                near[at] += np.frombuffer(r["near"], np.int16 if r["kind"] == 2 else np.int64).reshape(-1, DIM)
+        yield pa.RecordBatch.from_pylist([{"block": block, "seen": seen.tobytes(), "near": near.tobytes()}], pa.schema([("block", pa.int32()), ("seen", pa.binary()), ("near", pa.binary())]))
+
+    schema = pa.schema([("block", pa.int32()), ("at", pa.binary()), ("seen", pa.binary()), ("kind", pa.int32()), ("near", pa.binary())])
+    parts = docs.select(text).mapInArrow(part, "block int, at binary, seen binary, kind int, near binary")
+    near, seen = np.zeros((rows, DIM), np.int64), np.zeros(rows, np.int64)
+    for r in parts.groupBy("block").applyInArrow(added, "block int, seen binary, near binary").collect():  # rows / BLOCK rows
+        near[r["block"] : r["block"] + BLOCK] = np.frombuffer(r["near"], np.int64).reshape(-1, DIM)
+        seen[r["block"] : r["block"] + BLOCK] = np.frombuffer(r["seen"], np.int64)
+    return near, seen
+
+
+class Vectors(dict):
+    """Word to place in ``cache``, filled as words come; ``renew`` empties it between texts once it is full."""
+
+    def __init__(self, table: np.ndarray, most: int = 100_000):
+        super().__init__()
+        self.table, self.most, self.row_of = table, most, Rows(len(table), 0)
+        self.shapes: dict[str, np.ndarray] = {}
+        self.cache = np.zeros((1024, table.shape[1]), np.float32)
+
+    def renew(self) -> None:
+        if len(self) > self.most:
+            self.clear()
+            self.shapes.clear()
+
+    def __missing__(self, word: str) -> int:
+        look = shape(word)
+        if look not in self.shapes:
+            self.shapes[look] = index_vectors([look], self.table.shape[1])[0]
+        at = len(self)
+        if at == len(self.cache):
+            self.cache = np.concatenate([self.cache, np.zeros_like(self.cache)])
+        self.cache[at] = self.table[self.row_of[word]] + self.shapes[look]
+        self[word] = at
+        return at
+
+
+def vectors_of(near: np.ndarray, seen: np.ndarray) -> Vectors:
+    """Word vectors: index vector of the row and mean of its context."""
+    return Vectors((row_vectors(len(near))[:-1] + near / np.maximum(seen, 1)[:, None]).astype(np.float32))
 
 
 def features(text: str | None, vectors: Vectors) -> np.ndarray:
@@ -138,12 +197,13 @@ def features(text: str | None, vectors: Vectors) -> np.ndarray:
     if not words:
         out[-1] = 1
         return out
+    vectors.renew()
     distinct = set(words)
     ids = np.fromiter(map(vectors.__getitem__, words), np.int64, len(words))
     kinds = np.fromiter(map(vectors.__getitem__, distinct), np.int64, len(distinct))
     lines = text.split("\n")
-    out[:dim] = vectors.table[ids].mean(0)
-    out[dim : 2 * dim] = vectors.table[kinds].mean(0)
+    out[:dim] = vectors.cache[ids].mean(0)
+    out[dim : 2 * dim] = vectors.cache[kinds].mean(0)
     same = sum(a == b for a, b in zip(words, words[1:], strict=False))
     out[2 * dim :] = (np.log1p(len(words)) / 8, len(distinct) / len(words), len(distinct) / len(words) * np.log1p(len(words)) / 8, same / len(words), len(set(lines)) / len(lines), 0)
     return out
@@ -194,11 +254,8 @@ class Network:
         self.temperature = min(np.geomspace(0.25, 8, 61), key=loss)
 
 
-def train(texts: list[str], labels: np.ndarray) -> tuple[Vectors, Network] | None:
-    """Vectors from all texts, the network from four fifths of them, the temperature from the rest."""
-    if not len(texts):
-        return None
-    vectors = fit_vectors(texts)
+def train(texts: list[str], labels: np.ndarray, vectors: Vectors) -> Network:
+    """The network from four fifths of the rows, the temperature from the rest."""
     x = np.stack([features(t, vectors) for t in texts]).astype(np.float64)
     y = labels.astype(np.float64)
     apart = np.arange(len(y)) % 5 == 4
@@ -206,7 +263,7 @@ def train(texts: list[str], labels: np.ndarray) -> tuple[Vectors, Network] | Non
     net.fit(x[~apart] if (~apart).any() else x, y[~apart] if (~apart).any() else y)
     if apart.sum() >= 20:
         net.calibrate(x[apart], y[apart])
-    return vectors, net
+    return net
 
 
 def sample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int = FIT_CHARS) -> pd.DataFrame:
@@ -234,7 +291,13 @@ def sample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_cha
 def scorer(docs: DataFrame, labels: DataFrame, **bounds):
     """A function of a text column that gives its quality, fitted on labelled rows of ``docs``."""
     rows = sample(docs, labels, **bounds)
-    model = docs.sparkSession.sparkContext.broadcast(train(rows["text"].tolist(), rows["quality"].to_numpy()))
+    fitted = None
+    if len(rows):
+        near, seen = contexts(docs)
+        vectors = vectors_of(near, seen)
+        net = train(rows["text"].tolist(), rows["quality"].to_numpy(), vectors)
+        fitted = Vectors(vectors.table), net
+    model = docs.sparkSession.sparkContext.broadcast(fitted)
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:

@@ -45,43 +45,74 @@ def test_calibration_softens_an_overconfident_network():
     assert net.temperature > 1
 
 
-def plain_vectors(texts, dim):
-    """Random indexing word by word."""
+ROWS = 2 * quality.BLOCK  # few rows, so that words share some
+
 
-    def own(name):
-        h, out = xxhash.xxh64_intdigest(name, 5), np.zeros(dim)
-        for k in range(quality.NONZERO):
-            m = int(mix(np.array([(h + (k + 1) * 0x9E3779B97F4A7C15) % 2**64], np.uint64))[0])
-            out[m % dim] += 1 if m >> 63 else -1
-        return out
-
-    words = [t.split() for t in texts]
-    base = {w: own(w) + own(quality.shape(w)) for t in words for w in t}
-    near = {w: [] for w in base}
-    for t in words:
-        for i, w in enumerate(t):
-            near[w] += [base[t[j]] for j in range(max(0, i - 2), min(len(t), i + 3)) if j != i]
-    mean = {w: np.mean(v, 0) if v else np.zeros(dim) for w, v in near.items()}
-    out = {w: base[w] + mean[w] for w in base}
-    for s in {quality.shape(w) for w in base}:
-        out[s] = own(s) + np.mean([mean[w] for t in words for w in t if quality.shape(w) == s], 0)
+def own(name):
+    h, out = xxhash.xxh64_intdigest(name, 5), np.zeros(quality.DIM)
+    for k in range(quality.NONZERO):
+        m = int(mix(np.array([(h + (k + 1) * 0x9E3779B97F4A7C15) % 2**64], np.uint64))[0])
+        out[m % quality.DIM] += 1 if m >> 63 else -1
     return out
 
 
-def test_vectors_and_pooling_against_plain_code():
-    texts = ["The cat sat on the mat. The cat\nsat", "a 12 dogs, 12 dogs barked!", "", "cat cat cat cat", "x" * 60 + " y"]
-    vectors, want = quality.fit_vectors(texts), plain_vectors(texts, quality.DIM)
-    for w, v in want.items():
-        assert np.allclose(vectors.table[vectors[w]], v, atol=1e-5), w
+def row(word):
+    return xxhash.xxh64_intdigest(word.encode(), 3) % ROWS
+
+
+def plain_contexts(texts):
+    """Random indexing word by word."""
+    near, seen = np.zeros((ROWS, quality.DIM)), np.zeros(ROWS)
+    for t in texts:
+        words = (t or "").split()
+        for i, w in enumerate(words):
+            for j in range(max(0, i - quality.WINDOW), min(len(words), i + quality.WINDOW + 1)):
+                if j != i:
+                    near[row(w)] += own(f"row {row(words[j])}")
+                    seen[row(w)] += 1
+    return near, seen
+
+
+TEXTS = ["The cat sat on the mat. The cat\nsat", "a 12 dogs, 12 dogs barked!", "", None, "cat cat cat cat", "x" * 60 + " y", "alone", " ".join(f"w{i % 700}" for i in range(3000))]
+
+
+def test_contexts_over_all_documents_against_plain_code(spark):
+    want = plain_contexts(TEXTS + TEXTS[:2])
+    for parts in (1, 5):
+        docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS + TEXTS[:2])], "text_id long, text string").repartition(parts)
+        near, seen = quality.contexts(docs, rows=ROWS)
+        assert (near == want[0]).all() and (seen == want[1]).all()
+    near, seen = quality.contexts(docs.where("text_id < 0"), rows=ROWS)
+    assert not near.any() and not seen.any()
+
+
+def test_sums_in_several_goes_equal_sums_at_once():
+    base, rng = quality.row_vectors(quality.BLOCK), np.random.default_rng(3)
+    texts = [rng.integers(0, quality.BLOCK, n).astype(np.int32) for n in (1, 5, 200_000, 3)]
+    gap = np.full(quality.WINDOW, quality.BLOCK, np.int32)
+    results = []
+    for goes in ([texts], [texts[:2], texts[2:]]):
+        near, seen = np.zeros((quality.BLOCK, quality.DIM), np.int64), np.zeros(quality.BLOCK, np.int64)
+        for go in goes:
+            quality.add_contexts(near, seen, base, np.concatenate([x for t in go for x in (t, gap)]))
+        results.append((near, seen))
+    assert (results[0][0] == results[1][0]).all() and (results[0][1] == results[1][1]).all()
+    assert results[0][1].sum() == sum(4 * len(t) - 6 for t in texts if len(t) > 2)
+
+
+def test_pooling_against_plain_code():
+    near, seen = plain_contexts(TEXTS)
+    vectors = quality.vectors_of(near, seen)
+    vector = lambda w: own(f"row {row(w)}") + near[row(w)] / max(seen[row(w)], 1) + own(quality.shape(w))
     text = "The cat sat sat\ndog The cat sat sat\nThe cat sat sat"
     words = text.split()
-    vector = lambda w: want.get(w, want.get(quality.shape(w), None))
-    known = [w for w in words if vector(w) is not None]
-    assert len(known) == len(words)
-    got = quality.features(text, vectors)
-    assert np.allclose(got[: quality.DIM], np.mean([vector(w) for w in words], 0), atol=1e-5)
-    assert np.allclose(got[quality.DIM : 2 * quality.DIM], np.mean([vector(w) for w in set(words)], 0), atol=1e-5)
-    assert np.allclose(got[2 * quality.DIM :], [np.log1p(13) / 8, 4 / 13, 4 / 13 * np.log1p(13) / 8, 3 / 13, 2 / 3, 0])
+    for _ in range(2):
+        got = quality.features(text, vectors)
+        assert np.allclose(got[: quality.DIM], np.mean([vector(w) for w in words], 0), atol=1e-5)
+        assert np.allclose(got[quality.DIM : 2 * quality.DIM], np.mean([vector(w) for w in set(words)], 0), atol=1e-5)
+        assert np.allclose(got[2 * quality.DIM :], [np.log1p(13) / 8, 4 / 13, 4 / 13 * np.log1p(13) / 8, 3 / 13, 2 / 3, 0])
+        vectors.most = 2  # remembered words give way between texts
+        quality.features(TEXTS[-1], vectors)
 
 
 def test_network_against_plain_loops():
