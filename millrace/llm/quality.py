@@ -29,7 +29,8 @@ quality_score gives way to the score, other columns are kept.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -48,12 +49,18 @@ FIT_ROWS, FIT_CHARS = 3_000, 9_000_000
 HIDDEN, EPOCHS, SEED = 32, 60, 11
 
 
+LETTER, TAIL, NUMBER, WORD = re.compile(r"[^\W\d_]"), re.compile(r"[^\w]{1,3}$"), re.compile(r"[\d.,-]+"), re.compile(r"\w")
+
+
 def shape(word: str) -> str:
     """Class of a word by its look."""
-    core = re.sub(r"[^\W\d_]", "a", word.strip("\"'.,;:()"))
+    if word.isalpha():  # most words: letters alone
+        case = "U" if word.isupper() and len(word) > 1 else "T" if word[:1].isupper() else "l"
+        return f"\x00a{case}{min(len(word), 40).bit_length()}"
+    core = LETTER.sub("a", word.strip("\"'.,;:()"))
     case = "U" if word.isupper() and len(word) > 1 else "T" if word[:1].isupper() else "l"
-    tail = re.search(r"[^\w]{1,3}$", word)
-    kind = "a" if core and not core.strip("a") else "0" if re.fullmatch(r"[\d.,-]+", word) else "p" if not re.search(r"\w", word) else "m"
+    tail = TAIL.search(word)
+    kind = "a" if core and not core.strip("a") else "0" if NUMBER.fullmatch(word) else "p" if not WORD.search(word) else "m"
     return f"\x00{kind}{case}{min(len(word), 40).bit_length()}{tail.group() if tail else ''}"
 
 
@@ -95,21 +102,19 @@ class Rows(dict):
 def add_contexts(near: np.ndarray, seen: np.ndarray, base: np.ndarray, ids: np.ndarray, window: int = WINDOW) -> None:
     """Adds to ``near`` the index vectors of the words around each word of ``ids`` (texts apart by ``window`` times the last row), to ``seen`` their number."""
     apart = len(base) - 1
-    order = np.argsort(ids, kind="stable")
-    order = order[: np.searchsorted(ids[order], apart)]
-    padded = np.concatenate([np.full(window, apart, ids.dtype), ids, np.full(window, apart, ids.dtype)])
-    for at in range(0, len(order), 1 << 17):
-        places = order[at : at + (1 << 17)]
-        total, number = np.zeros((len(places), base.shape[1]), np.int16), np.zeros(len(places), np.int64)
-        for step in range(2 * window + 1):
-            if step != window:
-                other = padded[places + step]
-                total += base[other]
-                number += other != apart
-        rows = ids[places]
-        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        near[rows[first]] += np.add.reduceat(total, first, axis=0, dtype=np.int64)
-        seen[rows[first]] += np.add.reduceat(number, first)
+    for at in range(0, len(ids), 1 << 18):  # int8 holds the sum of 2 * window vectors of NONZERO places
+        low, high = max(0, at - window), min(len(ids), at + (1 << 18))
+        some = ids[low : min(len(ids), high + window)]
+        own, word = base.take(some, axis=0), some != apart
+        total, number = np.zeros((high - at, base.shape[1]), np.int8), np.zeros(high - at, np.int8)
+        for step in (s for s in range(-window, window + 1) if s):
+            first, last = max(at + step, 0), min(high + step, len(ids))
+            total[first - step - at : last - step - at] += own[first - low : last - low]
+            number[first - step - at : last - step - at] += word[first - low : last - low]
+        rows = ids[at:high].astype(np.int64)
+        for place, column in enumerate(np.ascontiguousarray(total.T)):  # whole numbers: sums of doubles are exact
+            near[:, place] += np.bincount(rows, column, len(base))[:-1].astype(np.int64)
+        seen += np.bincount(rows, number, len(base))[:-1].astype(np.int64)
 
 
 def contexts(docs: DataFrame, text: str = "text", rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +122,7 @@ def contexts(docs: DataFrame, text: str = "text", rows: int = ROWS) -> tuple[np.
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, row_of = row_vectors(rows), Rows(rows)
-        near, seen = np.zeros((rows, DIM), np.int64), np.zeros(rows, np.int64)
+        near, seen = np.zeros((rows, DIM), np.int64, order="F"), np.zeros(rows, np.int64)
         held, size, gap = [], 0, np.full(WINDOW, rows, np.int32)
         for batch in batches:
             for t in batch.column(0):
@@ -160,28 +165,39 @@ def contexts(docs: DataFrame, text: str = "text", rows: int = ROWS) -> tuple[np.
 class Vectors(dict):
     """Word to place in ``cache``, filled as words come; ``renew`` empties it between texts once it is full."""
 
-    def __init__(self, table: np.ndarray, most: int = 100_000):
+    def __init__(self, table: np.ndarray, most: int = 200_000):
         super().__init__()
-        self.table, self.most, self.row_of = table, most, Rows(len(table), 0)
-        self.shapes: dict[str, np.ndarray] = {}
+        self.table, self.most, self.shapes = table, most, {}
         self.cache = np.zeros((1024, table.shape[1]), np.float32)
+        self.fresh: list[tuple[int, int]] = []
+        self.of_shape = np.zeros((0, table.shape[1]), np.float32)
 
     def renew(self) -> None:
         if len(self) > self.most:
             self.clear()
-            self.shapes.clear()
 
     def __missing__(self, word: str) -> int:
+        import xxhash
+
         look = shape(word)
         if look not in self.shapes:
-            self.shapes[look] = index_vectors([look], self.table.shape[1])[0]
-        at = len(self)
-        if at == len(self.cache):
-            self.cache = np.concatenate([self.cache, np.zeros_like(self.cache)])
-        self.cache[at] = self.table[self.row_of[word]] + self.shapes[look]
-        self[word] = at
+            self.shapes[look] = len(self.shapes)
+            self.of_shape = np.concatenate([self.of_shape, index_vectors([look], self.table.shape[1]).astype(np.float32)])
+        self.fresh.append((xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 3) % len(self.table), self.shapes[look]))
+        self[word] = at = len(self)
         return at
 
+    def cache_of(self, words: Iterable[str]) -> np.ndarray:
+        """Vectors of ``words``; those of new words are made together."""
+        places, known = np.fromiter(map(self.__getitem__, words), np.int64), len(self) - len(self.fresh)
+        if self.fresh:
+            while len(self.cache) < len(self):
+                self.cache = np.concatenate([self.cache, np.zeros_like(self.cache)])
+            rows, shapes = np.array(self.fresh).T
+            self.cache[known : len(self)] = self.table[rows] + self.of_shape[shapes]
+            self.fresh = []
+        return self.cache[places]
+
 
 def vectors_of(near: np.ndarray, seen: np.ndarray) -> Vectors:
     """Word vectors: index vector of the row and mean of its context."""
@@ -198,12 +214,12 @@ def features(text: str | None, vectors: Vectors) -> np.ndarray:
         out[-1] = 1
         return out
     vectors.renew()
-    distinct = set(words)
-    ids = np.fromiter(map(vectors.__getitem__, words), np.int64, len(words))
-    kinds = np.fromiter(map(vectors.__getitem__, distinct), np.int64, len(distinct))
+    distinct = Counter(words)
+    kinds = vectors.cache_of(distinct)
+    times = np.fromiter(distinct.values(), np.float32, len(distinct))
     lines = text.split("\n")
-    out[:dim] = vectors.cache[ids].mean(0)
-    out[dim : 2 * dim] = vectors.cache[kinds].mean(0)
+    out[:dim] = times @ kinds / len(words)
+    out[dim : 2 * dim] = kinds.mean(0)
     same = sum(a == b for a, b in zip(words, words[1:], strict=False))
     out[2 * dim :] = (np.log1p(len(words)) / 8, len(distinct) / len(words), len(distinct) / len(words) * np.log1p(len(words)) / 8, same / len(words), len(set(lines)) / len(lines), 0)
     return out
