@@ -73,7 +73,8 @@ def test_filtering_stages_against_plain_code(spark, sf):
     ids = lambda t: sorted(r["doc_id"] for r in t.select("doc_id").collect())
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     rows = quality.sample(docs, labels)
-    vectors, net = quality.train(rows["text"].tolist(), rows["quality"].to_numpy())
+    vectors = quality.vectors_of(*quality.contexts(docs))
+    net = quality.train(rows["text"].tolist(), rows["quality"].to_numpy(), vectors)
     want = sorted(i for i, t in pairs(docs) if net(quality.features(t, vectors)[None, :].astype(float))[0] >= 0.5)
     assert ids(corpus_pipeline.quality_stage(spark, docs, sf)) == want
     assert ids(corpus_pipeline.near_duplicate_stage(spark, docs, sf)) == plain_near_duplicates(pairs(docs))
