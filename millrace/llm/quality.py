@@ -8,15 +8,17 @@ numbers, so the order of adding does not matter).  A word's vector is its row's
 index vector, the mean of its context, and an index vector of its shape (letter
 case, digits, punctuation at its end, length; of the whole word), which tells
 words of one row apart.  No word is left out by rank or count, and the table's
-size does not grow with the corpus.  A document is pooled twice, over its tokens
+size does not grow with the corpus.  The table is written to the shared folder by
+the tasks that sum it and read by those that use it (``Stored``); the driver holds
+none of it.  A document is pooled twice, over its tokens
 and over its distinct words, beside a few ratios (distinct words, repeated words
 and lines, length).  A two-layer numpy network maps that to a probability, which a
 temperature fitted on rows apart from its training rows calibrates.
 
 The network alone is fitted on a bounded sample of the labelled training rows
 (``fit_rows`` rows and ``fit_chars`` characters, whole texts in hash order of the
-ids up to the first that passes the bound); contexts and scores read every whole
-text.  Labels, language, source and ids are no inputs of a score.
+ids up to the first that passes the bound); executors pool them, and their
+features alone come to the driver.  Contexts and scores read every whole text.  Labels, language, source and ids are no inputs of a score.
 
 Defined cases: a null text counts as empty, empty texts are scored like any
 other; labels without a text or with a null label are not used, of repeated
@@ -30,7 +32,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mix, read
+from millrace.llm.common import file_system, mix, read, shared_dir
 
 DIM = 64
 NONZERO = 8
@@ -117,8 +119,8 @@ def add_contexts(near: np.ndarray, seen: np.ndarray, base: np.ndarray, ids: np.n
         seen += np.bincount(rows, number, len(base))[:-1].astype(np.int64)
 
 
-def contexts(docs: DataFrame, text: str = "text", rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Context sums of every row and the number of words in them, over all whole texts of ``docs``."""
+def block_sums(docs: DataFrame, done: Callable[[int, np.ndarray, np.ndarray], dict], kind: pa.Schema, text: str, rows: int) -> DataFrame:
+    """What ``done`` makes of each block's first row, context sums and numbers of words in them, over all whole texts of ``docs``; blocks without any are left out."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, row_of = row_vectors(rows), Rows(rows)
@@ -151,25 +153,30 @@ def contexts(docs: DataFrame, text: str = "text", rows: int = ROWS) -> tuple[np.
                 at = np.frombuffer(r["at"], np.int32) - block
                 seen[at] += np.frombuffer(r["seen"], np.int64)
                 near[at] += np.frombuffer(r["near"], np.int16 if r["kind"] == 2 else np.int64).reshape(-1, DIM)
-        yield pa.RecordBatch.from_pylist([{"block": block, "seen": seen.tobytes(), "near": near.tobytes()}], pa.schema([("block", pa.int32()), ("seen", pa.binary()), ("near", pa.binary())]))
+        yield pa.RecordBatch.from_pylist([done(block, near, seen)], kind)
 
     schema = pa.schema([("block", pa.int32()), ("at", pa.binary()), ("seen", pa.binary()), ("kind", pa.int32()), ("near", pa.binary())])
     parts = docs.select(text).mapInArrow(part, "block int, at binary, seen binary, kind int, near binary")
+    return parts.groupBy("block").applyInArrow(added, ", ".join(f"{f.name} {'int' if f.type == pa.int32() else 'binary'}" for f in kind))
+
+
+def contexts(docs: DataFrame, text: str = "text", rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Context sums of every row and the number of words in them, over all whole texts of ``docs``, on the driver."""
+    kind = pa.schema([("block", pa.int32()), ("seen", pa.binary()), ("near", pa.binary())])
+    sums = block_sums(docs, lambda block, near, seen: {"block": block, "seen": seen.tobytes(), "near": near.tobytes()}, kind, text, rows)
     near, seen = np.zeros((rows, DIM), np.int64), np.zeros(rows, np.int64)
-    for r in parts.groupBy("block").applyInArrow(added, "block int, seen binary, near binary").collect():  # rows / BLOCK rows
+    for r in sums.collect():  # rows / BLOCK rows
         near[r["block"] : r["block"] + BLOCK] = np.frombuffer(r["near"], np.int64).reshape(-1, DIM)
         seen[r["block"] : r["block"] + BLOCK] = np.frombuffer(r["seen"], np.int64)
     return near, seen
 
 
 class Vectors(dict):
-    """Word to place in ``cache``, filled as words come; ``renew`` empties it between texts once it is full."""
+    """Word to its shape's place times the table's rows plus its row, filled as words come; ``renew`` empties it between texts once it is full."""
 
     def __init__(self, table: np.ndarray, most: int = 200_000):
         super().__init__()
         self.table, self.most, self.shapes = table, most, {}
-        self.cache = np.zeros((1024, table.shape[1]), np.float32)
-        self.fresh: list[tuple[int, int]] = []
         self.of_shape = np.zeros((0, table.shape[1]), np.float32)
 
     def renew(self) -> None:
@@ -183,25 +190,54 @@ class Vectors(dict):
         if look not in self.shapes:
             self.shapes[look] = len(self.shapes)
             self.of_shape = np.concatenate([self.of_shape, index_vectors([look], self.table.shape[1]).astype(np.float32)])
-        self.fresh.append((xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 3) % len(self.table), self.shapes[look]))
-        self[word] = at = len(self)
-        return at
-
-    def cache_of(self, words: Iterable[str]) -> np.ndarray:
-        """Vectors of ``words``; those of new words are made together."""
-        places, known = np.fromiter(map(self.__getitem__, words), np.int64), len(self) - len(self.fresh)
-        if self.fresh:
-            while len(self.cache) < len(self):
-                self.cache = np.concatenate([self.cache, np.zeros_like(self.cache)])
-            rows, shapes = np.array(self.fresh).T
-            self.cache[known : len(self)] = self.table[rows] + self.of_shape[shapes]
-            self.fresh = []
-        return self.cache[places]
+        row = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 3) % len(self.table)
+        self[word] = code = self.shapes[look] * len(self.table) + row
+        return code
+
+    def of(self, words: Iterable[str]) -> np.ndarray:
+        """Vectors of ``words``; words are remembered, vectors are not, as the table has them."""
+        looks, rows = np.divmod(np.fromiter(map(self.__getitem__, words), np.int64), len(self.table))
+        return self.table[rows] + self.of_shape[looks]
+
+
+def table_of(near: np.ndarray, seen: np.ndarray, first: int = 0) -> np.ndarray:
+    """Vectors of the rows from ``first`` on: index vector of the row and mean of its context."""
+    return (index_vectors([f"row {first + i}" for i in range(len(near))]) + near / np.maximum(seen, 1)[:, None]).astype(np.float32)
 
 
 def vectors_of(near: np.ndarray, seen: np.ndarray) -> Vectors:
-    """Word vectors: index vector of the row and mean of its context."""
-    return Vectors((row_vectors(len(near))[:-1] + near / np.maximum(seen, 1)[:, None]).astype(np.float32))
+    """Word vectors from context sums."""
+    return Vectors(table_of(near, seen))
+
+
+class Stored:
+    """Word vectors in a folder, read when first asked for."""
+
+    def __init__(self, folder: str, rows: int = ROWS):
+        self.folder, self.rows, self.read = folder, rows, None
+
+    def vectors(self) -> Vectors:
+        if self.read is None:
+            from pyarrow import fs, parquet
+
+            table = row_vectors(self.rows)[:-1].astype(np.float32)
+            system, path = file_system(self.folder)
+            for info in system.get_file_info(fs.FileSelector(path)):
+                if info.base_name.endswith(".parquet"):
+                    with system.open_input_file(info.path) as f:
+                        for batch in parquet.ParquetFile(f).iter_batches(8, use_threads=False):
+                            for block, values in zip(batch["block"].to_pylist(), batch["vectors"], strict=True):
+                                table[block : block + BLOCK] = np.frombuffer(values.as_buffer(), np.float32).reshape(-1, DIM)
+            self.read = Vectors(table)
+        return self.read
+
+
+def stored_vectors(docs: DataFrame, text: str = "text", rows: int = ROWS) -> Stored:
+    """Word vectors from the contexts of all whole texts of ``docs``, written by the tasks that sum them."""
+    kind = pa.schema([("block", pa.int32()), ("vectors", pa.binary())])
+    folder = shared_dir(docs.sparkSession, "word-vectors")
+    block_sums(docs, lambda block, near, seen: {"block": block, "vectors": table_of(near, seen, block).tobytes()}, kind, text, rows).write.parquet(folder)
+    return Stored(folder, rows)
 
 
 def features(text: str | None, vectors: Vectors) -> np.ndarray:
@@ -215,7 +251,7 @@ def features(text: str | None, vectors: Vectors) -> np.ndarray:
         return out
     vectors.renew()
     distinct = Counter(words)
-    kinds = vectors.cache_of(distinct)
+    kinds = vectors.of(distinct)
     times = np.fromiter(distinct.values(), np.float32, len(distinct))
     lines = text.split("\n")
     out[:dim] = times @ kinds / len(words)
@@ -271,9 +307,13 @@ class Network:
 
 
 def train(texts: list[str], labels: np.ndarray, vectors: Vectors) -> Network:
-    """The network from four fifths of the rows, the temperature from the rest."""
-    x = np.stack([features(t, vectors) for t in texts]).astype(np.float64)
-    y = labels.astype(np.float64)
+    """The network from whole texts."""
+    return train_on(np.stack([features(t, vectors) for t in texts]), labels)
+
+
+def train_on(x: np.ndarray, labels: np.ndarray) -> Network:
+    """The network from the features of four fifths of the rows, the temperature from the rest."""
+    x, y = x.astype(np.float64), labels.astype(np.float64)
     apart = np.arange(len(y)) % 5 == 4
     net = Network(x.shape[1])
     net.fit(x[~apart] if (~apart).any() else x, y[~apart] if (~apart).any() else y)
@@ -282,8 +322,8 @@ def train(texts: list[str], labels: np.ndarray, vectors: Vectors) -> Network:
     return net
 
 
-def sample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int = FIT_CHARS) -> pd.DataFrame:
-    """Whole texts and labels of training rows (crc32 of the id mod 3 is not 1), in hash order up to both bounds."""
+def fitting_rows(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int = FIT_CHARS) -> DataFrame | None:
+    """Whole texts and labels of training rows (crc32 of the id mod 3 is not 1), in hash order up to both bounds; None without any."""
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
     first = known.select("doc_id", "quality", F.xxhash64("doc_id").alias("at")).orderBy("at", "doc_id").limit(2 * fit_rows)
@@ -298,28 +338,37 @@ def sample(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_cha
             break
         chosen.append((r["doc_id"], r["quality"], r["one"]["hash"]))
     if not chosen:
-        return pd.DataFrame({"text": [], "quality": []})
+        return None
     picked = docs.sparkSession.createDataFrame(chosen, "doc_id long, quality int, hash long")
-    rows = texts.withColumn("hash", F.xxhash64("text")).join(F.broadcast(picked), ["doc_id", "hash"]).groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    return texts.withColumn("hash", F.xxhash64("text")).join(F.broadcast(picked), ["doc_id", "hash"]).groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, **bounds) -> pd.DataFrame:
+    """The fitting rows by id, on the driver."""
+    rows = fitting_rows(docs, labels, **bounds)
+    if rows is None:
+        return pd.DataFrame({"text": [], "quality": []})
     return rows.toPandas().sort_values("doc_id", kind="stable").reset_index(drop=True)
 
 
 def scorer(docs: DataFrame, labels: DataFrame, **bounds):
     """A function of a text column that gives its quality, fitted on labelled rows of ``docs``."""
-    rows = sample(docs, labels, **bounds)
-    fitted = None
-    if len(rows):
-        near, seen = contexts(docs)
-        vectors = vectors_of(near, seen)
-        net = train(rows["text"].tolist(), rows["quality"].to_numpy(), vectors)
-        fitted = Vectors(vectors.table), net
-    model = docs.sparkSession.sparkContext.broadcast(fitted)
+    rows, words, net = fitting_rows(docs, labels, **bounds), None, None
+    if rows is not None:
+        words = docs.sparkSession.sparkContext.broadcast(stored_vectors(docs))  # the folder's name; a worker reads the table once
+
+        @F.pandas_udf("binary")
+        def pooled(texts: pd.Series) -> pd.Series:
+            return pd.Series([features(t, words.value.vectors()).tobytes() for t in texts], dtype=object)
+
+        fit = sorted(rows.select("doc_id", "quality", pooled("text").alias("x")).collect(), key=lambda r: r["doc_id"])
+        net = train_on(np.stack([np.frombuffer(r["x"], np.float32) for r in fit]), np.array([r["quality"] for r in fit]))
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        if model.value is None:
+        if net is None:
             return pd.Series(np.full(len(texts), 0.5))
-        vectors, net = model.value
+        vectors = words.value.vectors()
         return pd.Series(net(np.stack([features(t, vectors) for t in texts]).astype(np.float64)) if len(texts) else [], dtype=float)
 
     return scored
