@@ -72,12 +72,31 @@ def as_of(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time
     return out.select("_l.*", *[F.col("_r")[c].alias(c) for c in values])
 
 
-def range_join(points: DataFrame, ranges: DataFrame, point: str, start: str, end: str, width: float, by: list[str] | None = None) -> DataFrame:
-    """Points inside [start, end): ranges are cut into cells of ``width``, so that the join is an equi-join."""
-    by = by or []
+def range_join(points: DataFrame, ranges: DataFrame, point: str, start: str, end: str, width: float, by: list[str] | None = None, block: int = 4096) -> DataFrame:
+    """Points inside [start, end): ranges are cut into cells of ``width``, so that the join is an equi-join.
+
+    The points and the ranges of a cell that holds many are dealt by hash to parts of about ``block``, and each pair of
+    parts meets under a key of its own; there are as many tasks as the pairs to be compared ask for.
+    """
+    on = [*(by or []), "_cell"]
     cell = lambda c: F.floor(F.col(c) / width).cast("long")
-    cells = ranges.withColumn("_cell", F.explode(F.sequence(cell(start), cell(end))))
-    return points.withColumn("_cell", cell(point)).join(cells, [*by, "_cell"]).where((F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))).drop("_cell")
+    points = points.withColumn("_place", F.xxhash64(*points.columns)).withColumn("_cell", cell(point))
+    ranges = ranges.withColumn("_place", F.xxhash64(*ranges.columns)).withColumn("_cell", F.explode(F.sequence(cell(start), cell(end))))
+    both = points.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).join(ranges.groupBy(*on).agg(F.count(F.lit(1)).alias("_m")), on)
+    pairs = both.agg(F.sum(F.col("_n").cast("double") * F.col("_m"))).first()[0] or 0
+    # below the session's number of partitions Spark would deal anew, and join the small shuffles into few tasks
+    tasks = max(int(min(2000, pairs // 2**22)), int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # one row at most for every ``block`` rows of the input
+    large = F.broadcast(both.where((F.col("_n") > block) | (F.col("_m") > block)).select(*on, *[F.ceil(F.col(c) / block).cast("int").alias(c) for c in ("_n", "_m")]))
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        parts = df.join(large, on, "left").withColumn(own, F.pmod("_place", F.coalesce(own, F.lit(1))).cast("int"))
+        parts = parts.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)))
+        parts = parts.drop("_place")
+        return parts.repartition(tasks, *on, "_n", "_m") if pairs > 2**24 else parts
+
+    found = dealt(points, "_n", "_m").join(dealt(ranges, "_m", "_n").hint("merge"), [*on, "_n", "_m"])
+    return found.where((F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))).drop("_cell", "_n", "_m")
 
 
 def merge_state(current: Column, new: Column, append: bool) -> Column:

@@ -1,8 +1,9 @@
 """Queries against their SQL on rows that the tables don't hold, and steps that must not grow faster than their input."""
 
 import duckdb
-import pytest
+from pyspark.sql import functions as F
 
+from millrace.operators import joining
 from millrace.plans import registry
 
 QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
@@ -44,3 +45,16 @@ def test_merged_blocks_of_empty_null_and_repeated_texts(spark, tmp_path):
     documents = rows + [(7, "one"), (8, "w " * 120), (8, "w " * 120), (9, "w " * 60), (9, "w " * 330), (None, "w"), (-2, None)]
     got, want = against_sql(spark, tmp_path, "auto_merging", documents=(documents, schema))
     assert got == want and "(1, 1, 0)" in got
+
+
+def test_crowded_cells_of_a_range_join_are_dealt_to_tasks(spark):
+    points = spark.range(3000).select(F.col("id").alias("p"), (F.col("id") % 7).cast("double").alias("x")).union(spark.createDataFrame([(None, 2.0), (-1, None)], "p long, x double"))
+    ranges = spark.range(400).select(F.col("id").alias("s"), (F.col("id") % 5).cast("double").alias("low"), (F.col("id") % 5 + 2).cast("double").alias("high"))
+    out = joining.range_join(points, ranges, "x", "low", "high", 50.0, block=100)
+    want = points.crossJoin(ranges).where("x >= low AND x < high")
+    assert out.columns == want.columns and sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    ids = spark.range(4500)
+    a, b = ids.select("id", (F.col("id") % 3 + 0.5).alias("x")), ids.select(F.col("id").alias("s"), (F.col("id") % 2).cast("double").alias("low"), F.lit(9.0).alias("high"))
+    tasks = joining.range_join(a, b, "x", "low", "high", 50.0).groupBy(F.spark_partition_id()).count().collect()
+    tasks = [r["count"] for r in tasks]
+    assert sum(tasks) == a.crossJoin(b).where("x >= low AND x < high").count() and max(tasks) < 0.8 * sum(tasks)
