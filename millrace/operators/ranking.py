@@ -158,3 +158,55 @@ def communities(edges: DataFrame, threshold: float, least: int) -> DataFrame:
     best = claim.groupBy("node").agg(F.max(F.struct("n", (-F.col("center")).alias("c"))).alias("x")).select("node", (-F.col("x.c")).alias("center"))
     kept = best.groupBy("center").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("center")
     return best.join(kept, "center", "left_semi").select("node", "center")
+
+
+def band_communities(rows: DataFrame, by: str, key: str, value: str, width: float, least: int) -> DataFrame:
+    """``communities`` of the edges between keys of one ``by`` whose values are at most ``width`` apart, without the edges.
+
+    Neighbours are a run of the sorted values, so that a task holds the rows of its groups alone.  A key with several
+    rows may have several runs; only then are the edges made.
+    """
+    rows = rows.select(F.col(by).alias("by"), F.col(key).alias("key"), F.col(value).cast("double").alias("value")).where("by IS NOT NULL AND key IS NOT NULL AND abs(value) < double('inf')").distinct()
+    kind = dict(rows.dtypes)["key"]
+    if not rows.groupBy("key").count().where("count > 1").isEmpty():
+        a, b = rows.select("by", F.col("key").alias("a"), F.col("value").alias("x")), rows.select("by", F.col("key").alias("b"), F.col("value").alias("y"))
+        edges = a.join(b, "by").where((F.col("a") < F.col("b")) & (F.abs(F.col("x") - F.col("y")) <= width)).select("a", "b", F.lit(1.0).alias("score"))
+        return communities(edges, 1.0, least)
+
+    def claim(group: pa.Table) -> pa.Table:
+        keys = group.column("key").to_numpy()
+        values, at, count = np.unique(group.column("value").to_numpy(), return_inverse=True, return_counts=True)
+        n = len(values)
+        # the first and the last value within the width: rounded bounds, then put right by the differences themselves
+        low, high = np.searchsorted(values, values - width, "left"), np.searchsorted(values, values + width, "right") - 1
+        low, high = np.clip(low, 0, np.arange(n)), np.clip(high, np.arange(n), n - 1)
+        while (more := (low > 0) & (values - values[np.maximum(low - 1, 0)] <= width)).any():
+            low -= more
+        while (less := values - values[low] > width).any():
+            low += less
+        while (more := (high < n - 1) & (values[np.minimum(high + 1, n - 1)] - values <= width)).any():
+            high += more
+        while (less := values[high] - values > width).any():
+            high -= less
+        before = np.concatenate([[0], np.cumsum(count)])
+        size = before[high + 1] - before[low]
+        first = np.full(n, np.iinfo(np.int64).max)
+        np.minimum.at(first, at, keys)
+        # places by size, then by key: the best of a run is its least place, read off runs of twice the length each round
+        order = np.lexsort((first, -size))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        best, length, step = np.empty(n, np.int64), high - low + 1, 1
+        while step <= n:
+            now = (length >= step) & (length < 2 * step)
+            best[now] = np.minimum(place[low[now]], place[high[now] - step + 1])
+            place = np.minimum(place[:-step], place[step:]) if step < n else place
+            step *= 2
+        center = first[order[best]][at]
+        paired = size[at] > 1
+        keys, center = keys[paired], center[paired]
+        _, group_of, members = np.unique(center, return_inverse=True, return_counts=True)
+        kept = members[group_of] >= least
+        return pa.table({"node": keys[kept], "center": center[kept]})
+
+    return rows.groupBy("by").applyInArrow(claim, f"node {kind}, center {kind}")

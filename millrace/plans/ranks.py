@@ -99,10 +99,7 @@ def denoising_deletion(spark, sf_dir):
        c AS (SELECT s.b AS node, s.a AS center FROM s JOIN n ON s.a = n.a QUALIFY row_number() OVER (PARTITION BY s.b ORDER BY n.n DESC, s.a) = 1) SELECT node, center FROM c QUALIFY count(*) OVER (PARTITION BY center) >= 2""",
 )
 def communities(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier")
-    a, b = s.select("s_nationkey", F.col("s_suppkey").alias("a"), F.col("s_acctbal").alias("x")), s.select("s_nationkey", F.col("s_suppkey").alias("b"), F.col("s_acctbal").alias("y"))
-    edges = a.join(b, "s_nationkey").where("a < b AND abs(x - y) <= 3000").select("a", "b", F.lit(1.0).alias("score"))
-    return ranking.communities(edges, 0.5, 2)
+    return ranking.band_communities(table(spark, sf_dir, "supplier"), "s_nationkey", "s_suppkey", "s_acctbal", 3000.0, 2)
 
 
 @query("context_window", "SELECT conv_id, turn, concat(coalesce(lag(role) OVER w, '-'), '|', role, '|', coalesce(lead(role) OVER w, '-')) AS context FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")

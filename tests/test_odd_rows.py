@@ -1,6 +1,7 @@
 """Queries against their SQL on rows that the tables don't hold, and steps that must not grow faster than their input."""
 
 import duckdb
+import numpy as np
 from pyspark.sql import functions as F
 
 from millrace.operators import joining
@@ -58,3 +59,18 @@ def test_crowded_cells_of_a_range_join_are_dealt_to_tasks(spark):
     tasks = joining.range_join(a, b, "x", "low", "high", 50.0).groupBy(F.spark_partition_id()).count().collect()
     tasks = [r["count"] for r in tasks]
     assert sum(tasks) == a.crossJoin(b).where("x >= low AND x < high").count() and max(tasks) < 0.8 * sum(tasks)
+
+
+SUPPLIERS = "s_suppkey long, s_nationkey int, s_acctbal double"
+
+
+def test_communities_of_a_crowded_nation_make_no_pairs(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows = [(i, int(i % 3), float(np.round(rng.normal(0, 6000), 2))) for i in range(300)] + [(300 + i, 4, 3000.0 * (i // 3)) for i in range(30)]
+    rows += [(400, 5, 1e6), (401, None, 1.0), (402, None, 1.0), (403, 1, None), (404, 6, 0.1), (405, 6, 3000.1), (406, 7, 0.3), (407, 7, 3000.3), (408, 7, 3000.3000000000006), (None, 1, 5.0), (409, 8, 1.0), (409, 8, 1.0)]
+    got, want = against_sql(spark, tmp_path, "communities", supplier=(rows, SUPPLIERS))
+    assert got == want
+    plan = QUERIES["communities"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    got, want = against_sql(spark, tmp_path, "communities", supplier=(rows + [(5, 0, 100.0), (5, 2, -7000.0)], SUPPLIERS))
+    assert got == want  # a key with several rows
