@@ -14,6 +14,11 @@ def _fold(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once: what stands in the body of a lambda is computed again for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def dot(a: Column, b: Column) -> Column:
     return _fold(F.zip_with(a, b, lambda x, y: x.cast("double") * y))
 
@@ -60,8 +65,7 @@ def angle(a: Column, b: Column) -> Column:
 
 
 def l2_normalize(a: Column) -> Column:
-    n = F.greatest(norm(a), F.lit(1e-12))
-    return F.transform(a, lambda x: x / n)
+    return _once(F.greatest(norm(a), F.lit(1e-12)), lambda n: F.transform(a, lambda x: x / n))
 
 
 def truncate(a: Column, dims: int) -> Column:
@@ -72,7 +76,7 @@ def keep_largest(a: Column, n: int) -> Column:
     """Zeroes all but the ``n`` largest components by magnitude; ties keep the earlier."""
     pairs = F.transform(a, lambda x, i: F.struct((-F.abs(x)).alias("m"), i.alias("i")))
     kept = F.transform(F.slice(F.array_sort(pairs), 1, n), lambda p: p["i"])
-    return F.transform(a, lambda x, i: F.when(F.array_contains(kept, i), x).otherwise(0.0))
+    return _once(kept, lambda k: F.transform(a, lambda x, i: F.when(F.array_contains(k, i), x).otherwise(0.0)))
 
 
 def sparse(a: Column) -> Column:
@@ -86,10 +90,8 @@ def sigmoid(x: Column) -> Column:
 
 
 def softmax(a: Column, temperature: float = 1.0) -> Column:
-    top = F.array_max(a)
-    e = F.transform(a, lambda x: F.exp((x.cast("double") - top) / temperature))
-    total = _fold(e)
-    return F.transform(e, lambda x: x / total)
+    e = _once(F.array_max(a), lambda top: F.transform(a, lambda x: F.exp((x.cast("double") - top) / temperature)))
+    return _once(e, lambda e: _once(_fold(e), lambda total: F.transform(e, lambda x: x / total)))
 
 
 def multi_softmax(a: Column, sizes: list[int]) -> Column:
@@ -157,10 +159,9 @@ def maxout(a: Column, pieces: int) -> Column:
 
 
 def layer_norm(a: Column, eps: float = 1e-8) -> Column:
-    n = F.size(a)
-    mean = _fold(F.transform(a, lambda x: x.cast("double"))) / n
-    var = _fold(F.transform(a, lambda x: F.pow(x - mean, 2))) / n
-    return F.transform(a, lambda x: (x - mean) / F.sqrt(var + eps))
+    n = F.greatest(F.size(a), F.lit(1))
+    centred = _once(_fold(F.transform(a, lambda x: x.cast("double"))) / n, lambda mean: F.transform(a, lambda x: x - mean))
+    return _once(centred, lambda c: _once(F.sqrt(_fold(F.transform(c, lambda x: x * x)) / n + eps), lambda dev: F.transform(c, lambda x: x / dev)))
 
 
 def linear(a: Column, weights: list[list[float]], bias: list[float]) -> Column:
