@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -15,12 +18,25 @@ def top_k(df: DataFrame, by: list[str], order: list, k: int, name: str = "rank")
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(name) <= k)
 
 
+#: Terms of all queries that are sent to the tasks.
+BM25_TERMS = 1_000_000
+
+
 def bm25(docs: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", text: str = "text", qid: str = "qid", query: str = "query", k1: float = 1.5, b: float = 0.75) -> DataFrame:
-    """(qid, key, score, rank): tokens are counted once, only terms that a query holds are kept and joined."""
+    """(qid, key, score, rank): every task scores its documents by the terms of the queries and keeps the ``k`` best of each query.
+
+    Where a key has several documents, keys or queries are null, keys aren't bigint or the queries hold over ``BM25_TERMS``
+    terms in all, counts of a term in a document are shuffled instead.
+    """
     split = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda t: t != "")
     rows = docs.select(key, split(F.col(text)).alias("_w"))
     terms = queries.select(qid, F.explode(F.array_distinct(split(F.col(query)))).alias("term"))
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("_w")).alias("mean"))
+    plain = dict(docs.dtypes)[key] == "bigint" and queries.where(F.col(qid).isNull()).isEmpty() and terms.count() <= BM25_TERMS
+    if plain and docs.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull()).isEmpty():
+        found = _bm25_by_task(docs.select(F.col(key).alias("key"), F.lower(text).alias("text")), terms.select(F.col(qid).alias("qid"), "term"), k, k1, b)
+        scored = found.select(F.col("qid").alias(qid), F.col("key").alias(key), "score")
+        return top_k(scored, [qid], [F.round("score", 9).desc(), key], k)
     tf = rows.select(key, F.size("_w").alias("len"), F.explode("_w").alias("term")).join(terms.select("term").distinct(), "term", "left_semi")
     tf = tf.groupBy("term", key).agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -31,6 +47,74 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", text:
     return top_k(scored, [qid], [F.round("score", 9).desc(), key], k)  # sums in another order must not decide ties
 
 
+def _bm25_by_task(docs: DataFrame, terms: DataFrame, k: int, k1: float, b: float) -> DataFrame:
+    """(qid, key, score) of the ``k`` best of each query and task; documents are (key, lower-case text), keys are unique."""
+    spark, kinds = docs.sparkSession, dict(docs.dtypes) | dict(terms.dtypes)
+    pairs = terms.toPandas()
+    names, at = np.unique(pairs["term"].to_numpy(str), return_inverse=True)
+    qids, of = np.unique(pairs["qid"].to_numpy(), return_inverse=True)
+    # queries of each term, one after the other
+    order = np.argsort(at, kind="stable")
+    starts, asked = np.searchsorted(at[order], np.arange(len(names) + 1)), of[order]
+    shared = spark.sparkContext.broadcast(({t: i for i, t in enumerate(names.tolist())}, qids, starts, asked))
+    word = re.compile("[a-z0-9]+")
+
+    def counts(batches):
+        """Rows with each term, then rows and tokens of the task under the places -1 and -2."""
+        vocabulary = shared.value[0]
+        df, n, tokens = np.zeros(len(vocabulary), np.int64), 0, 0
+        for batch in batches:
+            for x in batch.column("text"):
+                found = word.findall(x.as_py() or "")
+                tokens += len(found)
+                n += x.is_valid
+                for t in vocabulary.keys() & set(found):
+                    df[vocabulary[t]] += 1
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_pydict({"term": np.concatenate([held, [-1, -2]]), "n": np.concatenate([df[held], [n, tokens]])})
+
+    sums = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(counts, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    rows, texts = docs.count(), sums.pop(-1, 0)
+    mean = sums.pop(-2, 0) / texts if texts else 0.0
+    df = np.array([sums.get(i, 0) for i in range(len(names))], np.float64)
+    idf = spark.sparkContext.broadcast(np.log(1 + (rows - df + 0.5) / (df + 0.5)))
+
+    def scores(batches):
+        vocabulary, qids, starts, asked = shared.value
+        width = max(1, len(qids))
+        kept = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.float64))
+
+        def merged(kept, q, key, score):
+            q, key, score = (np.concatenate(x) for x in zip(kept, (q, key, score), strict=True))
+            order = np.lexsort((key, -np.round(score, 9), q))
+            q = q[order]
+            best = order[np.arange(len(q)) - np.searchsorted(q, q) < k]
+            return tuple(x[best] for x in (q[np.argsort(order)], key, score))
+
+        for batch in batches:
+            share = max(1, 2**21 // width)
+            for first in range(0, batch.num_rows, share):
+                part = batch.slice(first, share)
+                sums = np.zeros((part.num_rows, width))
+                for i, x in enumerate(part.column("text")):
+                    found = word.findall(x.as_py() or "")
+                    tf = Counter(filter(vocabulary.__contains__, found))
+                    if not tf:
+                        continue
+                    t = np.fromiter((vocabulary[w] for w in tf), np.int64, len(tf))
+                    f = np.fromiter(tf.values(), np.float64, len(tf))
+                    weight = idf.value[t] * f * (k1 + 1) / (f + k1 * (1 - b + b * len(found) / mean))
+                    lengths = starts[t + 1] - starts[t]
+                    places = np.repeat(starts[t] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+                    sums[i] = np.bincount(asked[places], np.repeat(weight, lengths), width)
+                keys = part.column("key").to_numpy(zero_copy_only=False)
+                row, q = np.nonzero(sums)
+                kept = merged(kept, q, keys[row], sums[row, q])
+        yield pa.RecordBatch.from_pydict({"qid": qids[kept[0]], "key": kept[1], "score": kept[2]})
+
+    return docs.mapInArrow(scores, f"qid {kinds['qid']}, key {kinds['key']}, score double")
+
+
 def _scores(similarity: str, q: np.ndarray, x: np.ndarray) -> np.ndarray:
     if similarity == "cosine":
         n = np.sqrt((q * q).sum(1))[:, None] * np.sqrt((x * x).sum(1))[None, :]

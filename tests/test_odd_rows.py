@@ -102,3 +102,17 @@ def test_recursive_chunks_of_a_long_text_take_time_by_its_length(spark):
     assert got[:3] == [None, [], [" "]] and got[3] == ["x" * 10, "x"] and got[4] == ["a" * 9 + "\n", "\n", "b"]
     assert got[5] == ["ab cd ef ", "gh ij kl"] and got[6] == ["\n" * 10, "\n" * 8] and got[7] == ["é漢😀 é漢😀 "] * 2 + ["é漢😀 "] and got[8] == ["a" * 10, "a" * 10, "a" * 5 + " ", "b"]
     assert got[9] == ["one two\n"] * 60_000
+
+
+def test_bm25_shuffles_no_counts_of_terms(spark, tmp_path):
+    words = "alpha beta gamma delta Epsilon zeta eta theta".split()
+    rng = np.random.default_rng(4)
+    rows = [(i, ", ".join(rng.choice(words, rng.integers(1, 30)))) for i in range(-20, 200)] + [(300, None), (301, ""), (302, "none of them"), (303, "eta\n" * 500)]
+    asked = [(1, "alpha zeta"), (2, "Theta theta THETA eta"), (3, "unknown"), (4, ""), (5, None), (6, "beta"), (6, "beta gamma")], "item_id long, text string"
+    schema = "doc_id long, text string"
+    got, want = against_sql(spark, tmp_path, "bm25_top_k", documents=(rows, schema), benchmark=asked)
+    assert got == want and len(got) == 15
+    plan = QUERIES["bm25_top_k"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(term" not in plan
+    got, want = against_sql(spark, tmp_path, "bm25_top_k", documents=(rows + [(None, "alpha eta"), (7, rows[27][1])], schema), benchmark=asked)
+    assert got == want  # a null key and a key with two documents
